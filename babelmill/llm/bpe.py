@@ -10,7 +10,8 @@ Contract of ``encode_documents``: one row for each input row with columns (id, t
 * empty text: no tokens, n_tokens 0, exact true. Texts of any length are encoded whole.
 * repeated rows give repeated rows; ties can't occur (ranks are distinct); an empty table gives an empty table.
 * only the two named columns are read, so further columns can't clash.
-* ``exact`` says that decoding the ids gives the text back, byte for byte; it is computed for every row.
+* ``exact`` says that decoding the ids gives the text back, byte for byte; it is computed for every row, so that a
+  collision of the 64-bit hashes that pre-tokens are looked up by would show.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import tune
+from .text import chunks, codes, prefix, runs, span_hash
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 REMEMBERED = 300_000  # distinct pre-tokens that a worker remembers before it starts afresh
@@ -96,29 +98,97 @@ def serialise_model(tokens: list[bytes]) -> bytes:
     return bytes(out) + _field(2, trainer) + _field(3, normaliser)
 
 
+@lru_cache(1)
+def classes() -> np.ndarray:
+    """Of each code point: 0 letter, 1 number, 2 other, 3 white space, as the pattern's properties have it."""
+    import regex
+
+    points = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    out = np.full(0x110000, 2, np.uint8)
+    for kind, name in ((0, r"\p{L}"), (1, r"\p{N}"), (3, r"\s")):
+        out[list(map(ord, regex.findall(name, points)))] = kind
+    return out
+
+
+def split_starts(c: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the matches of PATTERN begin, over texts laid end to end; the matches cover every character.
+
+    A match is a run of one class, with the space before it if there is one. White space before a run gives all but
+    its last character as one match. An apostrophe that begins a match takes the letters of a contraction.
+    """
+    n = len(c)
+    if not n:
+        return np.zeros(0, np.int64)
+    kind = classes()[c]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    begins = edge[:-1].copy()
+    begins[1:] |= kind[1:] != kind[:-1]
+    last_space = (kind == 3) & np.append(kind[1:] != 3, True) & ~edge[1:]  # white space right before something else
+    start = begins.copy()
+    start |= last_space
+    joins = np.zeros(n, bool)
+    joins[1:] = last_space[:-1] & (c[:-1] == 32)
+    start &= ~joins
+    quote = np.flatnonzero((c == 39) & start)
+    quote = quote[quote + 1 < n]
+    if len(quote):
+        quote = quote[~edge[quote + 1]]
+        one = c[quote + 1]
+        two = np.where((quote + 2 < n) & ~edge[np.minimum(quote + 2, n)], c[np.minimum(quote + 2, n - 1)], 0)
+        short = np.isin(one, [ord(x) for x in "stmd"])
+        long = ((two == 101) & ((one == 114) | (one == 118))) | ((one == 108) & (two == 108))
+        for found, length in ((quote[short], 2), (quote[long & ~short], 3)):
+            start[found + 1] = False
+            after = found + length
+            after = after[after < n]
+            start[after] |= kind[after] != 3
+            blank = after[(kind[after] == 3)]
+            start[blank] = True
+    return np.flatnonzero(start)
+
+
 class Codec:
     """Encoder and decoder for one vocabulary."""
 
     def __init__(self, tokens: list[bytes]):
-        import regex
         from sentencepiece import SentencePieceProcessor
 
         self.tokens = tokens
-        self.split = regex.compile(PATTERN).findall
         self.model = SentencePieceProcessor(model_proto=serialise_model(tokens))
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        pieces = [self.split(text) for text in texts]
+        self.known: dict[int, list[int]] = {}
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin (one more than there are texts)."""
+        c, offsets = codes(texts)
+        starts = split_starts(c, offsets)
+        ends = np.append(starts[1:], len(c))[: len(starts)]
+        hashes, where, which = np.unique(span_hash(prefix(c), starts, ends), return_index=True, return_inverse=True)
+        keys = hashes.tolist()
         known = self.known
-        new = list(set().union(*pieces).difference(known))
-        if len(known) + len(new) > REMEMBERED:
+        if len(known) > REMEMBERED:
             known.clear()
-            new = list(set().union(*pieces))
-        spelled = [new_.encode().decode("latin-1").translate(TO_LETTERS) for new_ in new]
-        known.update(zip(new, self.model.encode(spelled, num_threads=1)))
-        find = known.__getitem__
-        return [list(chain.from_iterable(map(find, row))) for row in pieces]
+        new = [i for i, key in enumerate(keys) if key not in known]
+        if new:
+            whole, at = "".join(texts), where[new]
+            spelled = [whole[a:b].encode().decode("latin-1").translate(TO_LETTERS) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            known.update(zip((keys[i] for i in new), self.model.encode(spelled, num_threads=1)))
+        rows = [known[key] for key in keys]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum()))
+        begin = np.cumsum(sizes) - sizes
+        each = sizes[which]
+        ids = flat[np.repeat(begin[which], each) + runs(each)]
+        total = np.append(0, np.cumsum(each))
+        return ids, total[np.searchsorted(starts, offsets)]
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that ids stand for, in a row."""
+        each = self.lengths[ids]
+        return self.bytes[np.repeat(self.begins[ids], each) + runs(each)]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "strict")
@@ -129,7 +199,7 @@ def codec(path: str) -> Codec:
     return Codec(read_ranks(path))
 
 
-def encode_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str | None = None, step: int = 250) -> DataFrame:
+def encode_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str | None = None) -> DataFrame:
     """Token ids of every text; a single narrow stage. ``vocabulary``: a rank file that all executors can read."""
     path = vocabulary or default_vocabulary()
     tune(df.sparkSession)
@@ -139,18 +209,17 @@ def encode_documents(df: DataFrame, id_column: str = "doc_id", text_column: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                texts = part.column(1).to_pylist()
-                found = coder.encode([t or "" for t in texts])
-                exact = [None if t is None else coder.decode(row) == t for t, row in zip(texts, found)]
-                offsets = np.zeros(len(texts) + 1, np.int32)
-                np.cumsum([len(row) for row in found], out=offsets[1:])
-                flat = pa.array(np.fromiter(chain.from_iterable(found), np.int32, int(offsets[-1])))
-                missing = pa.array([t is None for t in texts], pa.bool_())
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=missing)
-                counts = pa.array([None if t is None else len(row) for t, row in zip(texts, found)], pa.int32())
-                columns = [part.column(0), lists, counts, pa.array(exact, pa.bool_())]
+            rows = batch.column(1).to_pylist()
+            for low, high in chunks([t or "" for t in rows]):
+                texts = [t or "" for t in rows[low:high]]
+                missing = np.array([t is None for t in rows[low:high]])
+                ids, offsets = coder.encode(texts)
+                spelled = coder.spell(ids)
+                at = np.append(0, np.cumsum(coder.lengths[ids]))[offsets].tolist()
+                exact = [t.encode() == spelled[a:b].tobytes() for t, a, b in zip(texts, at, at[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids), mask=pa.array(missing))
+                counts = pa.array(np.diff(offsets).astype(np.int32), mask=missing)
+                columns = [batch.column(0).slice(low, high - low), lists, counts, pa.array(np.array(exact, bool), mask=missing)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "token_ids", "n_tokens", "exact"])
 
     out = kept.mapInArrow(run, "id long, token_ids array<int>, n_tokens int, exact boolean")
