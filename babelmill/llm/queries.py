@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
+from .ordinal import select_documents
+from .syncmers import fingerprints, match_positions
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,5 +19,25 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_byte_bpe": op1_byte_bpe}
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def syncmer_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match_positions(table(spark, sf_dir, "documents"))
+
+
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op5_syncmers,
+        op7_ordinal_quality,
+        syncmer_matches,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
