@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
+from .lines import duplicate_lines
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -31,12 +32,17 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe,
         op5_syncmers,
         op7_ordinal_quality,
+        op10_fuzzy_lines,
         syncmer_matches,
     )
 }
