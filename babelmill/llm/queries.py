@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .lines import duplicate_lines
+from .jaccard import duplicate_groups
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -36,6 +37,10 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_lines(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -43,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_syncmers,
         op7_ordinal_quality,
         op10_fuzzy_lines,
+        op9_ngram_jaccard,
         syncmer_matches,
     )
 }
