@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .lines import duplicate_lines
 from .jaccard import duplicate_groups
+from .superkmers import ORACLE as REPEATS_SQL
+from .superkmers import repeated_spans
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -41,6 +43,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -49,7 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_ordinal_quality,
         op10_fuzzy_lines,
         op9_ngram_jaccard,
+        op3_super_kmers,
         syncmer_matches,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_super_kmers": REPEATS_SQL}
