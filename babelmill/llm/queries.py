@@ -11,6 +11,7 @@ from .lines import duplicate_lines
 from .jaccard import duplicate_groups
 from .superkmers import ORACLE as REPEATS_SQL
 from .superkmers import repeated_spans
+from .packing import pack_documents
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -47,6 +48,10 @@ def op3_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op6_related_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_fuzzy_lines,
         op9_ngram_jaccard,
         op3_super_kmers,
+        op6_related_packing,
         syncmer_matches,
     )
 }
