@@ -12,6 +12,7 @@ from .jaccard import duplicate_groups
 from .superkmers import ORACLE as REPEATS_SQL
 from .superkmers import repeated_spans
 from .packing import pack_documents
+from .private import find_identifiers
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -52,6 +53,10 @@ def op6_related_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_private_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_identifiers(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_ngram_jaccard,
         op3_super_kmers,
         op6_related_packing,
+        op2_private_identifiers,
         syncmer_matches,
     )
 }
