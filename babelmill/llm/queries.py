@@ -13,6 +13,7 @@ from .superkmers import ORACLE as REPEATS_SQL
 from .superkmers import repeated_spans
 from .packing import pack_documents
 from .private import find_identifiers
+from .licenses import scan_licenses
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -57,6 +58,10 @@ def op2_private_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_identifiers(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_super_kmers,
         op6_related_packing,
         op2_private_identifiers,
+        op4_license_scan,
         syncmer_matches,
     )
 }
