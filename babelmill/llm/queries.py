@@ -14,6 +14,7 @@ from .superkmers import repeated_spans
 from .packing import pack_documents
 from .private import find_identifiers
 from .licenses import scan_licenses
+from .jpeg import decode_column, media_column
 from .ordinal import select_documents
 from .syncmers import fingerprints, match_positions
 
@@ -62,6 +63,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op8_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_column(media_column(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_related_packing,
         op2_private_identifiers,
         op4_license_scan,
+        op8_progressive_jpeg,
         syncmer_matches,
     )
 }
