@@ -8,19 +8,33 @@ from pyspark.sql import functions as F
 from .schemas import PARSED_CLAIMS, SITES, TERM_LISTS, TERMS
 
 
+def last_wins(found: Column) -> Column:
+    """The map with the last value of each key: a decoded object that repeats a key keeps every entry.
+
+    The map is bound once by the outer lambda; only maps that do repeat a key are rebuilt.
+    """
+
+    def rebuilt(m: Column) -> Column:
+        keys = F.array_distinct(F.map_keys(m))
+        value = lambda k: F.element_at(F.filter(F.map_entries(m), lambda e: e["key"] == k), -1)["value"]
+        return F.when(F.size(keys) == F.size(m), m).otherwise(F.map_from_arrays(keys, F.transform(keys, value)))
+
+    return F.get(F.transform(F.array(found), rebuilt), F.lit(0))
+
+
 def terms(column: str | Column) -> Column:
     """Labels or descriptions: language -> {language, value}. Malformed, ``null`` and ``[]`` give NULL."""
-    return F.from_json(column, TERMS)
+    return last_wins(F.from_json(column, TERMS))
 
 
 def term_lists(column: str | Column) -> Column:
     """Aliases: language -> list of {language, value}."""
-    return F.from_json(column, TERM_LISTS)
+    return last_wins(F.from_json(column, TERM_LISTS))
 
 
 def sites(column: str | Column) -> Column:
     """Site links: site -> {site, title}; further fields are dropped."""
-    return F.from_json(column, SITES)
+    return last_wins(F.from_json(column, SITES))
 
 
 def _number(value: Column, path: str, integer: str, number: str) -> Column:
