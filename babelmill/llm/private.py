@@ -2,11 +2,11 @@
 
 Candidates are spans with a digit or an at sign. Each has lexical patterns: its exact shape (digits 9, letters a and
 A), its collapsed shape, and the words beside it together with that shape. Seeds are candidates that a validator
-accepts (mail addresses, dotted quads in range, numbers with a valid checksum, telephone numbers of the numbering
+accepts (mail addresses, dotted quads in range, numbers with a valid checksum or a card issuer's range, telephone numbers of the numbering
 plan, long values assigned to a secret's name) or rejects (short numbers). From the seeds Spark scores the bipartite
 graph of patterns and instances in turns: a pattern's confidence is the share of its instances that are identifiers,
 an instance's score is the best confidence among its patterns. Confident patterns so find identifiers that no
-validator knows: area codes outside the plan, card-like numbers whose checksum fails, secrets without a name.
+validator knows: area codes outside the plan, card-like numbers of no issuer whose checksum fails, secrets without a name.
 
 Contract of ``find_identifiers``: a row (doc_id, start, end, kind, score) for each span; offsets count characters;
 ``kind`` is the collapsed shape. The text of an identifier isn't in the result.
@@ -53,6 +53,7 @@ MAIL = re.compile(r"[\w.+%-]+@(?:[\w-]+\.)+[a-z]{2,12}", re.I)
 QUAD = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 PHONE = re.compile(r"(?:\+1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}")
 BANK = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
+ISSUER = re.compile(r"4[0-9]{15}|5[1-5][0-9]{14}|2[2-7][0-9]{14}|3[47][0-9]{13}|6(?:011|5[0-9]{2})[0-9]{12}")
 SECRET = re.compile(r"(?:token|secret|passwo?r?d|api[_ -]?key|credential)\w*\s*[=:]+\s*[\"']?$", re.I)
 
 
@@ -77,7 +78,7 @@ def seed(value: str, before: str) -> int:
     if BANK.fullmatch(value):
         return 1 if int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1 else 0
     if 13 <= len(digits) <= 19 and re.fullmatch(r"[0-9 -]+", value):
-        return 1 if luhn(digits) else 0
+        return 1 if luhn(digits) or ISSUER.fullmatch(digits) else 0
     return -1 if len(value) < 7 or len(digits) < 4 else 0
 
 
