@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,23 @@ def session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g") -> S
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the Python workers of this session the package, wherever they run; once a session."""
+    context = spark.sparkContext
+    if getattr(context, "_babelmill_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(context._temp_dir, "babelmill.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._babelmill_shipped = True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the cluster's shared checkpoint folder.
 
