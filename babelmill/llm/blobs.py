@@ -14,11 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 BATCH_ROWS = 2000
 
 
 def tune(spark: SparkSession) -> int:
-    """Bounds the rows of an Arrow batch, so that long texts fit a worker; returns the number of shuffle partitions."""
+    """Ships the package to the workers and bounds the rows of an Arrow batch, so that long texts fit a worker; returns
+    the number of shuffle partitions."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
