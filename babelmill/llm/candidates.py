@@ -98,12 +98,12 @@ def rest(groups: DataFrame, joined: DataFrame) -> DataFrame:
 
 def grouped(groups: DataFrame, items: DataFrame, partitions: int, shingles: Callable[[str], set], least: float, prune: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(node, root) of the verified components, and the verified (a, b, jaccard) pairs that join them."""
-    prune = prune or (lambda pairs: pairs)
+    narrow = (lambda pairs: cut(prune(pairs))) if prune else (lambda pairs: pairs)  # written, as verified() reads its pairs twice
     stars = groups.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    first = cut(verified(prune(stars), items, partitions, shingles, least))
+    first = cut(verified(narrow(stars), items, partitions, shingles, least))
     joined = components(first)
     others = cut(rest(groups, joined))
     if others.isEmpty():
         return joined, first
-    edges = first.unionAll(cut(verified(prune(others), items, partitions, shingles, least)))
+    edges = first.unionAll(cut(verified(narrow(others), items, partitions, shingles, least)))
     return components(edges), edges
