@@ -18,6 +18,7 @@ holds height * width * 3 bytes, row by row, red, green, blue.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,7 @@ class Bits:
         return value if not n or value >> (n - 1) else value - (1 << n) + 1
 
 
+@lru_cache(64)
 def code_table(counts: bytes, symbols: bytes) -> list[tuple[int, int]]:
     """For every 16 bits ahead the length and symbol of the code they begin with; length 0 for none."""
     table: list[tuple[int, int]] = [(0, 0)] * 65536
