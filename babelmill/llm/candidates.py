@@ -9,6 +9,8 @@ if a chain of verified pairs joins them, while a group of n near copies costs ab
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,15 @@ from .blobs import exchange, unpack
 from .components import components
 from .text import mix
 
+@dataclass(frozen=True)
+class Sets:
+    """How a text becomes an exact set, and the sizes that a Jaccard index needs."""
+
+    make: Callable[[str], Any]
+    size: Callable[[Any], int] = len
+    overlap: Callable[[Any, Any], int] = lambda x, y: len(x & y)
+
+
 FIELDS = {"key": "<u8", "member": "<i8"}
 PER_SALT = 4000  # members of one leader that a task compares
 
@@ -52,7 +63,7 @@ def key_groups(sent: DataFrame, partitions: int) -> DataFrame:
     return cut(rows.groupBy("gid", "member").agg(F.min("leader").alias("leader")))
 
 
-def verified(pairs: DataFrame, items: DataFrame, partitions: int, shingles: Callable[[str], set], least: float) -> DataFrame:
+def verified(pairs: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:
     """(a, b, jaccard) of the pairs whose shingle sets have a Jaccard index of at least ``least``.
 
     items: (id, text). A leader's text travels once to each task that holds some of its members; leaders of very many
@@ -65,17 +76,18 @@ def verified(pairs: DataFrame, items: DataFrame, partitions: int, shingles: Call
     ready = rows.repartition(partitions, "lead", "salt").sortWithinPartitions("lead", "salt", "rank", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own = None, set()
+        current, own, here = None, None, 0
         for batch in batches:
             found: list[tuple[int, int, float]] = []
             for lead, salt, rank, one, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if rank == 0:
-                    current, own = (lead, salt), shingles(text)
+                    current, own = (lead, salt), sets.make(text)
+                    here = sets.size(own)
                 elif current == (lead, salt):
-                    other = shingles(text)
-                    low, high = sorted((len(own), len(other)))
+                    other = sets.make(text)
+                    low, high = sorted((here, sets.size(other)))
                     if low >= least * high and low:
-                        both = len(own & other)
+                        both = sets.overlap(own, other)
                         index = both / (low + high - both)
                         if index >= least:
                             found.append((lead, one, index))
@@ -96,14 +108,14 @@ def rest(groups: DataFrame, joined: DataFrame) -> DataFrame:
     return pairs.where("a < b and root_a <> root_b").select("a", "b").distinct()
 
 
-def grouped(groups: DataFrame, items: DataFrame, partitions: int, shingles: Callable[[str], set], least: float, prune: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float, prune: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(node, root) of the verified components, and the verified (a, b, jaccard) pairs that join them."""
     narrow = (lambda pairs: cut(prune(pairs))) if prune else (lambda pairs: pairs)  # written, as verified() reads its pairs twice
     stars = groups.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    first = cut(verified(narrow(stars), items, partitions, shingles, least))
+    first = cut(verified(narrow(stars), items, partitions, sets, least))
     joined = components(first)
     others = cut(rest(groups, joined))
     if others.isEmpty():
         return joined, first
-    edges = first.unionAll(cut(verified(narrow(others), items, partitions, shingles, least)))
+    edges = first.unionAll(cut(verified(narrow(others), items, partitions, sets, least)))
     return components(edges), edges

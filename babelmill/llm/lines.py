@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .blobs import by_text, pack, schema, tune
-from .candidates import FIELDS, grouped, key_groups
+from .candidates import FIELDS, Sets, grouped, key_groups
 from .text import U, codes, mix, prefix, powers, runs, span_hash, BASE, INVERSE
 
 K = 8
@@ -95,6 +95,37 @@ def line_shingles(line: str, k: int = K) -> set:
     return {line[i : i + k] for i in range(len(line) - k + 1)} or {line}
 
 
+def packed_shingles(line: str, k: int = K) -> tuple[np.ndarray, frozenset]:
+    """The exact shingle set in two parts: eight characters of one byte each are packed into a whole number (sorted, each
+    once); shingles with a wider character, those of other lengths and short lines stay text."""
+    n = len(line) - k + 1
+    if n < 1 or k != 8:
+        return np.zeros(0, U), frozenset(line_shingles(line, k))
+    try:
+        raw = line.encode("latin-1")
+    except UnicodeEncodeError:
+        parts = line_shingles(line, k)
+        wide = frozenset(p for p in parts if max(p) > "\xff")
+        return np.sort(np.array([int.from_bytes(p.encode("latin-1"), "little") for p in parts - wide], U)), wide
+    out = np.empty(n, U)
+    for shift in range(min(8, n)):
+        out[shift::8] = np.frombuffer(raw, "<u8", (len(raw) - shift) // 8, shift)
+    out.sort()
+    fresh = np.ones(n, bool)
+    np.not_equal(out[1:], out[:-1], out=fresh[1:])
+    return out[fresh], frozenset()
+
+
+def packed_size(x: tuple[np.ndarray, frozenset]) -> int:
+    return len(x[0]) + len(x[1])
+
+
+def packed_overlap(x: tuple[np.ndarray, frozenset], y: tuple[np.ndarray, frozenset]) -> int:
+    both = np.concatenate([x[0], y[0]])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum()) + (len(x[1] & y[1]) if x[1] and y[1] else 0)
+
+
 def like_lines(docs: DataFrame, least: float = LEAST, k: int = K, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(node, root) over content hashes of lines: the components of two and more different lines that are alike."""
     partitions = tune(docs.sparkSession)
@@ -116,7 +147,7 @@ def like_lines(docs: DataFrame, least: float = LEAST, k: int = K, bands: int = B
     needed = groups.select(F.col("member").alias("id")).distinct()
     lines = docs.mapInArrow(by_text(spell), "id long, text string").join(needed, "id", "left_semi")
     items = cut(lines.groupBy("id").agg(F.min("text").alias("text")))
-    return grouped(groups, items, partitions, lambda line: line_shingles(line, k), least)[0]
+    return grouped(groups, items, partitions, Sets(lambda line: packed_shingles(line, k), packed_size, packed_overlap), least)[0]
 
 
 def duplicate_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = LEAST, k: int = K, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -125,6 +125,15 @@ def test_lines_against_brute_force(spark):
     assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.03 * len(want)
 
 
+def test_packed_shingles_are_the_set():
+    rng = random.Random(9)
+    made = ["".join(rng.choices("abé漢" if i % 3 else "ab", k=rng.randrange(40))) for i in range(200)]
+    for x, y in zip(made, made[1:] + made[:1]):
+        a, b = lines.packed_shingles(x), lines.packed_shingles(y)
+        assert lines.packed_size(a) == len(lines.line_shingles(x))
+        assert lines.packed_overlap(a, b) == len(lines.line_shingles(x) & lines.line_shingles(y))
+
+
 def test_lines_are_dropped(spark):
     rows = [(1, "first line here\n\nsecond line here"), (2, "first line here\nonly in the second"), (3, "second line here\n \nfirst line here"), (3, "second line here\n \nfirst line here"), (None, "first line here"), (6, None), (7, ""), (8, " \n"), (9, "x" * 300_000)]
     out = lines.drop_duplicate_lines(frame(spark, rows))
