@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
 from .blobs import tune
 from .text import chunks, codes, mix, prefix, span_hash
 
@@ -118,26 +119,31 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def telling(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which features' shares of texts differ across a cut between grades by more than chance.
+
+    counts: (grades, features) texts that have each feature; sizes: texts of each grade.
+    """
+    out = np.zeros(counts.shape[1], bool)
+    n = sizes.sum()
+    pooled = counts.sum(axis=0) / n
+    for cut_ in range(1, len(sizes)):
+        n0, n1 = sizes[:cut_].sum(), sizes[cut_:].sum()
+        spread = np.sqrt(np.maximum(pooled * (1 - pooled), 0.5 / n) * (1 / n1 + 1 / n0))
+        out |= np.abs(counts[cut_:].sum(axis=0) / n1 - counts[:cut_].sum(axis=0) / n0) > SURPRISE * spread
+    return out
+
+
 def fit(rows: list[np.ndarray], ratings: list[int], bits: int = BITS, epochs: int = 200, rate: float = 0.05, decay: float = DECAY) -> Model:
     """Maximum likelihood by Adam over all rows at once; each grade has the same total weight.
 
-    rows: the features of each text; ratings: its grade. The thresholds stay ordered as the gaps are exponentials.
+    rows: the telling features of each text; ratings: its grade. The thresholds stay ordered as the gaps are exponentials.
     """
     grades = sorted(set(ratings))
     y = np.searchsorted(grades, ratings)
     n, m = len(rows), len(grades) - 1
     who = np.repeat(np.arange(n), [len(r) for r in rows])
     flat = np.concatenate(rows)
-    telling = np.zeros(1 << bits, bool)
-    for cut in range(m):  # a feature is kept where its share of texts differs across a cut by more than chance
-        high = y > cut
-        up, down = (np.bincount(flat[high[who] == side], minlength=1 << bits) for side in (True, False))
-        n1, n0 = high.sum(), (~high).sum()
-        pooled = (up + down) / n
-        spread = np.sqrt(np.maximum(pooled * (1 - pooled), 0.5 / n) * (1 / n1 + 1 / n0))
-        telling |= np.abs(up / n1 - down / n0) > SURPRISE * spread
-    common = telling[flat]
-    who, flat = who[common], flat[common]
     used, which = np.unique(flat, return_inverse=True)
     share = 1 / (np.bincount(y) * (m + 1))[y]
     w, free = np.zeros(len(used)), np.zeros(m)
@@ -174,7 +180,8 @@ def grades(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, rated: DataFrame, per_grade: int = PER_GRADE, bits: int = BITS) -> Model | None:
     """A model from at most ``per_grade`` texts of each grade; None if the ratings hold fewer than two grades.
 
-    The sample is chosen among the ratings alone and is bounded, so it is broadcast to the one scan of the texts.
+    The sample is chosen among the ratings alone and is bounded, so it is broadcast to the one scan of the texts. Which
+    features tell grades apart is counted by Spark; the driver gathers those features of the sample only.
     """
     tune(docs.sparkSession)
     order = F.xxhash64("id")
@@ -193,13 +200,31 @@ def train(docs: DataFrame, rated: DataFrame, per_grade: int = PER_GRADE, bits: i
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(which[order].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([kept.slice(low, high - low), lists], names=["grade", "found"])
 
-    found = joined.mapInArrow(run, "grade int, found array<int>").toArrow()
-    ratings = found.column("grade").to_pylist()
-    if len(set(ratings)) < 2:
+    found = cut(joined.mapInArrow(run, "grade int, found array<int>"))
+    sizes = {r["grade"]: r["count"] for r in found.groupBy("grade").count().collect()}
+    if len(sizes) < 2:
         return None
-    rows = [np.asarray(chunk.values)[a:b] for chunk in found.column("found").chunks for a, b in zip(chunk.offsets.to_pylist(), chunk.offsets.to_pylist()[1:])]
-    ordered = sorted(range(len(rows)), key=lambda i: (ratings[i], rows[i].tobytes()))
-    return fit([rows[i] for i in ordered], [ratings[i] for i in ordered], bits)
+    order = sorted(sizes)
+    each = found.select("grade", F.explode("found").alias("f"))
+    by_grade = each.groupBy("f").agg(*(F.count_if(F.col("grade") == g).alias(f"g{g}") for g in order), F.count("*").alias("n"))
+    # a feature of n texts, all on the smaller side of a cut, differs by about sqrt(n * larger / smaller) deviations
+    sides = [(sum(sizes[g] for g in order[:i]), sum(sizes[g] for g in order[i:])) for i in range(1, len(order))]
+    fewest = 0.8 * SURPRISE**2 / max(max(x) / min(x) for x in sides)
+    seen = by_grade.where(F.col("n") >= fewest).drop("n").toArrow()
+    counts = np.zeros((len(order), 1 << bits))
+    for row, g in enumerate(order):
+        counts[row, seen.column("f").to_numpy()] = seen.column(f"g{g}").to_numpy()
+    kept = telling(counts, np.array([sizes[g] for g in order]))
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [[f for f in row if kept[f]] for row in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["grade", "found"])
+
+    told = found.mapInArrow(narrow, "grade int, found array<int>").toArrow()
+    ratings, lists = told.column("grade").to_pylist(), told.column("found").to_pylist()
+    ordered = sorted(range(len(lists)), key=lambda i: (ratings[i], lists[i]))
+    return fit([np.array(lists[i], np.int64) for i in ordered], [ratings[i] for i in ordered], bits)
 
 
 def scored(df: DataFrame, model: Model | None, text_column: str, names: tuple[str, str], least: float) -> DataFrame:
@@ -212,8 +237,7 @@ def scored(df: DataFrame, model: Model | None, text_column: str, names: tuple[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = pa.compute.is_valid(batch.column(place))
-            batch = batch.filter(known)
+            batch = batch.filter(batch.column(place).is_valid())
             tails = model.tails(batch.column(place).to_pylist())
             best = tails[:, -1]
             columns = [*batch.columns, pa.array(model.expected(tails)), pa.array(best)]
