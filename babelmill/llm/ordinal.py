@@ -1,7 +1,8 @@
 """Quality selection by cumulative-link regression on graded ratings, over hashed text.
 
 Grades are ordered: 0 poor, 1 fluent but toxic, 2 good. One weight a hashed feature gives a text its score s, and
-ordered thresholds t0 < t1 cut the line of scores: P(grade > j) = sigmoid(s - tj). The model is fitted on the driver
+ordered thresholds t0 < t1 cut the line of scores: P(grade > j) = sigmoid(s - tj). The likelihood weighs each grade by
+its frequency among all ratings, so that a text without evidence has about that frequency of being good. The model is fitted on the driver
 from a sample of at most ``per_grade`` labelled texts of each grade, those whose hashed ids are smallest; scoring is
 one narrow stage over all texts.
 
@@ -34,8 +35,8 @@ from .text import chunks, codes, mix, prefix, span_hash
 
 BITS = 18
 PER_GRADE = 4000
-LEAST = 0.35
-DECAY = 1e-3
+LEAST = 0.65
+DECAY = 1e-4
 STEM = 5  # letters of a word that make its stem
 SURPRISE = 5.0  # standard deviations between grades that a feature must show to get a weight
 
@@ -134,10 +135,11 @@ def telling(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(rows: list[np.ndarray], ratings: list[int], bits: int = BITS, epochs: int = 200, rate: float = 0.05, decay: float = DECAY) -> Model:
-    """Maximum likelihood by Adam over all rows at once; each grade has the same total weight.
+def fit(rows: list[np.ndarray], ratings: list[int], bits: int = BITS, epochs: int = 300, rate: float = 0.2, decay: float = DECAY, frequency: dict[int, int] | None = None) -> Model:
+    """Maximum likelihood by Adam over all rows at once.
 
-    rows: the telling features of each text; ratings: its grade. The thresholds stay ordered as the gaps are exponentials.
+    frequency: how frequent each grade is where the sample was drawn from, which weights its rows; else all grades weigh
+    the same. rows: the telling features of each text; ratings: its grade. The thresholds stay ordered as the gaps are exponentials.
     """
     grades = sorted(set(ratings))
     y = np.searchsorted(grades, ratings)
@@ -145,7 +147,8 @@ def fit(rows: list[np.ndarray], ratings: list[int], bits: int = BITS, epochs: in
     who = np.repeat(np.arange(n), [len(r) for r in rows])
     flat = np.concatenate(rows)
     used, which = np.unique(flat, return_inverse=True)
-    share = 1 / (np.bincount(y) * (m + 1))[y]
+    parts = np.array([(frequency or {}).get(g, 1) for g in grades], float)
+    share = (parts / parts.sum() / np.bincount(y))[y]
     w, free = np.zeros(len(used)), np.zeros(m)
     moments = [np.zeros_like(x) for x in (w, w, free, free)]
     for step in range(1, epochs + 1):
@@ -224,7 +227,8 @@ def train(docs: DataFrame, rated: DataFrame, per_grade: int = PER_GRADE, bits: i
     told = found.mapInArrow(narrow, "grade int, found array<int>").toArrow()
     ratings, lists = told.column("grade").to_pylist(), told.column("found").to_pylist()
     ordered = sorted(range(len(lists)), key=lambda i: (ratings[i], lists[i]))
-    return fit([np.array(lists[i], np.int64) for i in ordered], [ratings[i] for i in ordered], bits)
+    frequency = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
+    return fit([np.array(lists[i], np.int64) for i in ordered], [ratings[i] for i in ordered], bits, frequency=frequency)
 
 
 def scored(df: DataFrame, model: Model | None, text_column: str, names: tuple[str, str], least: float) -> DataFrame:
