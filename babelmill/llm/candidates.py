@@ -114,8 +114,9 @@ def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, le
     stars = groups.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
     first = cut(verified(narrow(stars), items, partitions, sets, least))
     joined = components(first)
-    others = cut(rest(groups, joined))
+    left = rest(groups, joined)
+    others = cut(prune(left) if prune else left)
     if others.isEmpty():
         return joined, first
-    edges = first.unionAll(cut(verified(narrow(others), items, partitions, sets, least)))
+    edges = first.unionAll(cut(verified(others, items, partitions, sets, least)))
     return components(edges), edges
