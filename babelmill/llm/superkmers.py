@@ -31,17 +31,18 @@ from .text import CHUNK, U, codes, mix, prefix, rolling, runs, sliding_min, span
 K, M = 50, 8
 FINER = 4  # buckets a shuffle partition
 
-SENT = "bucket int, key binary, doc binary, at binary, size binary, packed binary"
+SENT = "bucket int, key binary, doc binary, at binary, size binary, twice binary, packed binary"
 
 
-def super_kmers(texts: list[str], k: int = K, m: int = M) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(minimiser, text index, first word, packed words) of the super-k-mers of every text."""
+def super_kmers(texts: list[str], k: int = K, m: int = M) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(minimiser, text index, first word, whether the minimiser occurs twice, packed words) of the super-k-mers of every text."""
     c, offsets = codes(texts)
     starts, ends, which = words(c, offsets)
     n = len(starts) - k + 1
     if n <= 0:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), []
-    least = sliding_min(rolling(span_hash(prefix(c), starts, ends), m), k - m + 1)
+        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), []
+    short = rolling(span_hash(prefix(c), starts, ends), m)
+    least = sliding_min(short, k - m + 1)
     inside = which[:n] == which[k - 1 : k - 1 + n]
     at = np.flatnonzero(inside)
     new = np.ones(len(at), bool)
@@ -49,13 +50,16 @@ def super_kmers(texts: list[str], k: int = K, m: int = M) -> tuple[np.ndarray, n
     first = at[new]
     last = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
     base = np.searchsorted(which, which[first])
+    inner = last - first + k - m + 1
+    same = short[np.repeat(first, inner) + runs(inner)] == np.repeat(least[first], inner)
+    twice = np.add.reduceat(same, np.cumsum(inner) - inner, dtype=np.int64) > 1 if len(first) else np.zeros(0, bool)
     joined = "".join(texts)
     packed = [b" ".join(joined[a:b].encode().split()) for a, b in zip(starts[first].tolist(), ends[last + k - 1].tolist())]
-    return least[first], which[first], first - base, packed
+    return least[first], which[first], first - base, twice, packed
 
 
 def pack(ids: list, texts: list[str], count: int, k: int, m: int) -> pa.RecordBatch:
-    key, text, at, packed = super_kmers(texts, k, m)
+    key, text, at, twice, packed = super_kmers(texts, k, m)
     key = mix(key, 9)
     bucket = ((key >> U(32)) * U(count) >> U(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -67,9 +71,9 @@ def pack(ids: list, texts: list[str], count: int, k: int, m: int) -> pa.RecordBa
         i = order[a:b]
         strings = [packed[j] for j in i.tolist()]
         sizes = np.fromiter(map(len, strings), np.int32, len(strings))
-        rows.append((int(bucket[i[0]]), key[i].tobytes(), doc[i].tobytes(), at[i].astype(np.int32).tobytes(), sizes.tobytes(), squeeze(b"".join(strings))))
-    columns = list(zip(*rows)) if rows else [()] * 6
-    names = ["bucket", "key", "doc", "at", "size", "packed"]
+        rows.append((int(bucket[i[0]]), key[i].tobytes(), doc[i].tobytes(), at[i].astype(np.int32).tobytes(), sizes.tobytes(), twice[i].tobytes(), squeeze(b"".join(strings))))
+    columns = list(zip(*rows)) if rows else [()] * 7
+    names = ["bucket", "key", "doc", "at", "size", "twice", "packed"]
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])], names=names)
 
 
@@ -148,8 +152,9 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: str =
         order = np.argsort(key, kind="stable")
         bounds = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
         many = np.diff(np.append(bounds, len(order)))
-        # a lone string can repeat a window only where one word run recurs within it, which takes more than 2k - m words
-        keep = np.repeat((many > 1) | (size[order][bounds] > 2 * (2 * k - m)), many)
+        # a lone string can repeat a window only where its minimiser recurs within it
+        twice = np.frombuffer(b"".join(held["twice"]), bool)
+        keep = np.repeat((many > 1) | twice[order][bounds], many)
         order = order[keep]
         if not len(order):
             return
@@ -168,7 +173,7 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: str =
             low = end
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "doc", "at", "size", "packed")
+        names = ("key", "doc", "at", "size", "twice", "packed")
         held: dict[str, list[bytes]] = {n: [] for n in names}
         current = None
         for batch in batches:

@@ -165,6 +165,16 @@ def test_repeats_equal_sql_and_brute_force(spark):
     assert superkmers.repeated_spans(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_lone_strings_repeat_their_own_windows(spark):
+    lines = ["a " * 51, "b " * 60, "c " * 92, "d " * 50, "ee " * 55, "f g " * 27, "h i j k l m n " * 9]
+    docs = frame(spark, list(enumerate(lines)))
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toPandas())
+    want = sorted(con.sql(superkmers.ORACLE).fetchall())
+    assert (1, 0, 50, 11, True) in want and {r[0] for r in want} == {0, 1, 2, 4, 5, 6}
+    assert sorted(tuple(r) for r in superkmers.repeated_spans(docs).collect()) == want
+
+
 def test_windows_whose_hashes_collide(monkeypatch):
     monkeypatch.setattr(superkmers, "span_hash", lambda sums, a, b: np.zeros(len(a), np.uint64))
     strings = [b"a b c", b"a b d", b"a b c"]
