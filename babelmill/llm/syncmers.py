@@ -8,13 +8,15 @@ Contract of ``fingerprints``: one row for each input row with (id, positions, ha
 anchors in ascending order and the 64-bit hashes of their k-mers.
 
 * NULL text: NULL positions and hashes; a text of fewer than k characters, the empty one too: empty lists.
-* a k-mer that recurs within a text counts at its first place only; ties among equal s-mers count for either edge.
+* a k-mer that recurs within a text counts at each of its places; ties among equal s-mers count for either edge.
 * NULL ids and repeated rows are kept; an empty table gives an empty table; only id and text are read.
 
 Contract of ``match_positions``: for every document and every earlier document that it shares anchors with, where the
 earlier one is the smallest id that holds the anchor: (id, source_id, shift, anchors, start, end), one row a shift.
-The list grows with the anchors, not with the square of a group of copies; all copies of a passage name the same
-source. Rows with a NULL id take no part; repeated rows count once.
+Each place of an anchor in the document is matched to each of its places in the source, so a passage that recurs in
+either has a row for every shift. The list doesn't grow with the square of a group of copies, as all copies of a passage
+name the same source; within two periodic texts the matches grow with the product of the places of one anchor.
+Rows with a NULL id take no part; repeated rows count once.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from .text import CHUNK, chunks, codes, prefix, sliding_min, span_hash
 K, S = 100, 20
 
 
-def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, character offset, k-mer hash) of the anchors of each text, by text and offset."""
+def places(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, character offset, k-mer hash) of every place of the anchors of each text, by text and offset."""
     c, offsets = codes(texts)
     c = tables()[0][c]
     n = len(c) - k + 1
@@ -48,13 +50,18 @@ def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.nd
     text = np.searchsorted(offsets, chosen, "right") - 1
     inside = chosen + k <= offsets[text + 1]
     chosen, text = chosen[inside], text[inside]
-    hashes = span_hash(sums, chosen, chosen + k)
-    order = np.lexsort((chosen, hashes, text))
+    return text, chosen - offsets[text], span_hash(sums, chosen, chosen + k)
+
+
+def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of each text as a set: of ``places``, the first of each k-mer."""
+    text, place, hashes = places(texts, k, s)
+    order = np.lexsort((place, hashes, text))
     a, b = hashes[order], text[order]
     new = np.ones(len(order), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     first = np.sort(order[new])
-    return text[first], chosen[first] - offsets[text[first]], hashes[first]
+    return text[first], place[first], hashes[first]
 
 
 def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = K, s: int = S) -> DataFrame:
@@ -67,7 +74,7 @@ def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
             rows = batch.column(1).to_pylist()
             for low, high in chunks([t or "" for t in rows]):
                 part = rows[low:high]
-                text, place, hashes = anchors([t or "" for t in part], k, s)
+                text, place, hashes = places([t or "" for t in part], k, s)
                 offsets = pa.array(np.append(0, np.cumsum(np.bincount(text, minlength=len(part)))).astype(np.int32))
                 missing = pa.array([t is None for t in part])
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x), mask=missing) for x in (place.astype(np.int32), hashes.view(np.int64))]
@@ -85,23 +92,30 @@ def match_positions(df: DataFrame, id_column: str = "doc_id", text_column: str =
     kept = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
 
     def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        text, place, hashes = anchors(texts, k, s)
+        text, place, hashes = places(texts, k, s)
         yield pack(hashes, partitions, {"h": hashes, "doc": np.array(ids, np.int64)[text], "at": place.astype(np.int32)})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, x in unpack(batches, FIELDS):
             order = np.lexsort((x["at"], x["doc"], x["h"]))
             h, doc, at = x["h"][order], x["doc"][order], x["at"][order].astype(np.int64)
+            repeat = np.zeros(len(h), bool)  # the same place of a row that repeats
+            repeat[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
+            h, doc, at = h[~repeat], doc[~repeat], at[~repeat]
             new = np.ones(len(h), bool)
             new[1:] = h[1:] != h[:-1]
-            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(h) else np.zeros(0, np.int64)
             other = doc != doc[first]
-            repeat = np.zeros(len(h), bool)
-            repeat[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
-            use = np.flatnonzero(other & ~repeat)
-            for low in range(0, len(use), 1 << 18):
-                i = use[low : low + (1 << 18)]
-                columns = [doc[i], doc[first[i]], at[i] - at[first[i]], at[i]]
+            held = np.bincount(first[~other], minlength=len(h))  # places of the anchor in its source
+            use = np.flatnonzero(other)
+            upto = np.cumsum(held[first[use]])
+            total = int(upto[-1]) if len(upto) else 0
+            for low in range(0, total, 1 << 18):
+                pair = np.arange(low, min(low + (1 << 18), total))
+                which = np.searchsorted(upto, pair, "right")
+                i = use[which]
+                source = first[i] + pair - (upto[which] - held[first[i]])
+                columns = [doc[i], doc[source], at[i] - at[source], at[i]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "source_id", "shift", "at"])
 
     sent = kept.mapInArrow(by_text(send, CHUNK), schema(FIELDS))

@@ -122,6 +122,25 @@ def test_syncmers_are_free_of_context(spark):
     assert syncmers.match_positions(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_syncmers_keep_recurring_passages(spark):
+    shared, gap = words(200, 5), words(60, 6)
+    twice = f"{shared} {gap} {shared}"
+    docs = frame(spark, [(10, shared), (11, twice), (11, twice), (12, twice)])
+    rows = {r["doc_id"]: r for r in syncmers.fingerprints(docs).collect()}
+    second = len(shared) + len(gap) + 2
+    one = list(zip(rows[10]["positions"], rows[10]["hashes"]))
+    both = set(zip(rows[11]["positions"], rows[11]["hashes"]))
+    assert one and {(p + move, h) for p, h in one for move in (0, second)} <= both
+    match = {tuple(r) for r in syncmers.match_positions(docs).collect()}
+    low, high = min(rows[10]["positions"]), max(rows[10]["positions"]) + syncmers.K
+    ends = [(i, 10, move, len(one), low + move, high + move) for i in (11, 12) for move in (0, second)]
+    assert {r for r in match if r[1] == 10} == set(ends)
+    inner = {r[2]: r[3] for r in match if r[:2] == (12, 11)}
+    assert set(inner) == {0} and inner[0] == len(rows[11]["positions"]) - 2 * len(one)
+    back = {tuple(r) for r in syncmers.match_positions(frame(spark, [(10, twice), (11, shared)])).collect()}
+    assert {(r[2], r[3]) for r in back} == {(0, len(one)), (-second, len(one))}
+
+
 def brute_licenses(body, automata):
     """Every automaton tried at every token by a search over regular expressions of token sequences."""
     found = licenses.tokens(body)
