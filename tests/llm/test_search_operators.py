@@ -222,6 +222,30 @@ def test_nearest_neighbours_have_recall(spark):
     assert sum(found.get(a, 0) >= best[a] - 0.1 for a in related) / len(related) >= 0.9
 
 
+@pytest.mark.parametrize("count", [30, 2500])
+def test_nearest_neighbours_of_large_groups(spark, count):
+    hot = words(200, 77)
+    texts = {i: edited(hot, 0.04, i) for i in range(count)}
+    docs = frame(spark, [*texts.items(), (3, texts[3])]).selectExpr("doc_id as id", "text")
+    sets = {i: jaccard.word_ngrams(t) for i, t in texts.items()}
+    found = {}
+    for r in packing.neighbours(docs).collect():
+        found.setdefault(r["a"], {})[r["b"]] = r["similarity"]
+    hits = total = 0
+    for a in range(0, count, max(1, count // 60)):
+        index = {b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in texts if b != a}
+        last = sorted(index.values())[-packing.NEAREST]
+        assert all(abs(index[b] - x) < 1e-9 for b, x in found[a].items()) and len(found[a]) <= packing.NEAREST
+        hits += sum(index[b] >= last for b in found[a])
+        total += packing.NEAREST
+    assert hits / total >= 0.9
+
+
+def test_parts_are_components():
+    edges = [(5, 9, 0.5), (2, 3, 0.9), (9, 4, 0.4), (3, 2, 0.9)]
+    assert packing.parts(edges) == {4: [edges[0], edges[2]], 2: [edges[1], edges[3]]}
+
+
 def test_walks_start_at_low_degrees():
     assert packing.walk([(1, 2, 0.5), (2, 3, 0.9), (2, 4, 0.4), (3, 4, 0.3)]) == [1, 2, 3, 4]
     assert packing.walk([(5, 9, 0.5), (5, 6, 0.5), (5, 7, 0.8)]) == [6, 5, 7, 9]
