@@ -1,8 +1,8 @@
 """Media columns: progressive (and sequential) JPEG to full-resolution RGB tensors.
 
 The scans of a picture are accumulated into one coefficient array a component, by spectral selection and successive
-approximation; the blocks are then dequantised and inverse-transformed in numpy all at once, chroma is repeated up to
-full resolution, and the samples are turned into RGB. ``encode`` writes progressive pictures with 4:2:0 chroma, for
+approximation; the blocks are then dequantised and inverse-transformed in numpy all at once, chroma is interpolated up
+to full resolution, and the samples are turned into RGB. ``encode`` writes progressive pictures with 4:2:0 chroma, for
 tables that hold no media of their own.
 
 Contract of ``decode_column``: the input's id and (height, width, channels, tensor, error) for each input row; tensor
@@ -11,12 +11,14 @@ holds height * width * 3 bytes, row by row, red, green, blue.
 * NULL media: NULL height, width, channels, tensor and error; empty or damaged media, and kinds that aren't supported
   (arithmetic coding, lossless, 12 bits, four components): NULL tensor and a text in ``error``; no row raises.
 * grey pictures are repeated over the three channels. A picture whose data end early is an error, never part of one.
-* pictures of any size are decoded whole; repeated rows repeat; NULL ids are kept; an empty table gives an empty table;
+* pictures are decoded whole; those of more than ``most`` pixels, or whose header promises more blocks than their bits
+  can fill, have a text in ``error``; a damaged stream costs no more than its size and pixels; repeated rows repeat; NULL ids are kept; an empty table gives an empty table;
   only the two named columns are read, so further columns can't clash.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,170 +37,338 @@ def _zigzag() -> list[int]:
 
 
 ZIGZAG = _zigzag()
+MOST = 1 << 26  # pixels of a picture; what a worker holds grows with them, about 11 bytes each
 BASIS = np.array([[(0.5 if k else 0.5**1.5) * np.cos((2 * x + 1) * k * np.pi / 16) for x in range(8)] for k in range(8)])
 
+WAVES = np.kron(BASIS, BASIS).astype(np.float32)[ZIGZAG]  # (frequency in zigzag order, place in the block)
+
 
 class Damaged(ValueError):
     """A stream that doesn't follow the format."""
 
 
-class Bits:
-    """A reader over the entropy-coded bytes of one restart interval."""
-
-    def __init__(self, data: bytes):
-        bits = np.unpackbits(np.frombuffer(data + b"\0\0\0\0", np.uint8)).astype(np.uint32)
-        n = len(bits) - 16
-        window = np.zeros(n, np.uint32)
-        for i in range(16):
-            window |= bits[i : i + n] << np.uint32(15 - i)
-        self.window = window.tolist()
-        self.at = 0
-        self.end = len(data) * 8
-
-    def symbol(self, table: list[tuple[int, int]]) -> int:
-        if self.at >= self.end:
-            raise Damaged("the data of a scan end early")
-        length, value = table[self.window[self.at]]
-        if not length:
-            raise Damaged("a code that is in no table")
-        self.at += length
-        return value
-
-    def take(self, n: int) -> int:
-        if not n:
-            return 0
-        if self.at + n > self.end:
-            raise Damaged("the data of a scan end early")
-        value = self.window[self.at] >> (16 - n)
-        self.at += n
-        return value
-
-    def signed(self, n: int) -> int:
-        value = self.take(n)
-        return value if not n or value >> (n - 1) else value - (1 << n) + 1
+EARLY = "the data of a scan end early"
 
 
 @lru_cache(64)
-def code_table(counts: bytes, symbols: bytes) -> list[tuple[int, int]]:
-    """For every 16 bits ahead the length and symbol of the code they begin with; length 0 for none."""
-    table: list[tuple[int, int]] = [(0, 0)] * 65536
-    code = at = 0
-    for length, count in enumerate(counts, 1):
-        for _ in range(count):
-            low = code << (16 - length)
-            if low + (1 << (16 - length)) > 65536:
-                raise Damaged("a code table that overflows")
-            table[low : low + (1 << (16 - length))] = [(length, symbols[at])] * (1 << (16 - length))
-            code, at = code + 1, at + 1
-        code <<= 1
-    return table
+def code_table(counts: bytes, symbols: bytes) -> tuple[array, array]:
+    """For every 16 bits ahead what they begin with, as (AC, DC) entries: length | run << 5 | value << 9 of a code together
+    with its value's bits. A value of 0 is a code without one. Codes whose value reaches beyond the 16 bits have a length
+    of 0 and the code's own length, run and size in the higher bits; an entry of 0 is no code."""
+    if len(symbols) != sum(counts):
+        raise Damaged("a code table that ends early")
+    lengths = np.repeat(np.arange(1, 17), list(counts))
+    spans = 1 << (16 - lengths)
+    if int(spans.sum()) > 65536:
+        raise Damaged("a code table that overflows")
+    total = int(spans.sum())
+    length = np.zeros(65536, np.int64)
+    symbol = np.zeros(65536, np.int64)
+    length[:total] = np.repeat(lengths, spans)
+    symbol[:total] = np.repeat(np.frombuffer(symbols, np.uint8), spans)
+    ahead = np.arange(65536)
+    out = []
+    for run, size in ((symbol >> 4, symbol & 15), (np.zeros_like(symbol), np.minimum(symbol, 16))):
+        whole = length + size
+        raw = ahead >> np.maximum(16 - whole, 0) & ((1 << size) - 1)
+        value = np.where((size > 0) & (raw >> np.maximum(size - 1, 0) == 0), raw - (1 << size) + 1, raw)
+        short = whole <= 16
+        entry = np.where(short, whole | run << 5 | np.where(size > 0, value, 0) << 9, (length | run << 5 | size << 9) << 5)
+        out.append(array("i", np.where(length > 0, entry, 0).astype(np.int32).tobytes()))
+    return out[0], out[1]
 
 
 class Component:
-    """Sampling factors, the quantisation table's number, and the coefficients of one component."""
+    """Sampling factors, the quantisation table's number, and the coefficients of one component: an array of blocks of
+    64, in zigzag order."""
 
     def __init__(self, ident: int, h: int, v: int, quant: int):
+        if not (1 <= h <= 4 and 1 <= v <= 4):
+            raise Damaged("a sampling factor that isn't allowed")
         self.ident, self.h, self.v, self.quant = ident, h, v, quant
-        self.blocks: list[list[int]] = []
         self.wide = self.high = self.own_wide = self.own_high = 0
+        self.flat = array("h")
 
+    def allocate(self) -> None:
+        self.flat = array("h", bytes(128 * self.wide * self.high))
 
-def _scan(parts: list[bytes], comps: list[tuple[Component, list | None, list | None]], across: int, down: int, every: int, band: tuple[int, int], high: int, low: int, progressive: bool) -> None:
-    """Adds one scan to the coefficients of its components."""
-    single = len(comps) == 1
-    first = comps[0][0]
-    wide, tall = (first.own_wide, first.own_high) if single else (across, down)
-    start, stop = band
-    plus, minus = 1 << low, -1 << low
-    reader = Bits(parts[0])
+    def blocks(self) -> np.ndarray:
+        return np.frombuffer(self.flat, np.int16).reshape(-1, 64)
+
+
+class Bits:
+    """A reader over the entropy-coded bytes of one restart interval: an integer that holds the next bits."""
+
+    def __init__(self, data: bytes):
+        self.data, self.last = data + bytes(12), len(data) * 8
+        self.acc = self.n = self.p = 0
+
+    def fill(self) -> None:
+        if self.p + 6 > len(self.data):
+            raise Damaged(EARLY)
+        self.acc = (self.acc & ((1 << self.n) - 1)) << 48 | int.from_bytes(self.data[self.p : self.p + 6])
+        self.p += 6
+        self.n += 48
+
+    def take(self, count: int) -> int:
+        if self.n < count:
+            self.fill()
+        self.n -= count
+        return self.acc >> self.n & ((1 << count) - 1)
+
+    def signed(self, count: int) -> int:
+        value = self.take(count)
+        return value if value >> (count - 1) else value - (1 << count) + 1
+
+    def many(self, count: int) -> np.ndarray:
+        """The next ``count`` bits as an array."""
+        at = self.p * 8 - self.n
+        if at + count > self.last:
+            raise Damaged(EARLY)
+        found = np.unpackbits(np.frombuffer(self.data, np.uint8, (at + count + 7) // 8 - at // 8, at // 8))[at % 8 : at % 8 + count]
+        at += count
+        self.p, self.n = at // 8 + 1, 8 - at % 8
+        self.acc = self.data[at // 8]
+        return found
+
+    def done(self) -> None:
+        if self.p * 8 - self.n > self.last:
+            raise Damaged(EARLY)
+
+
+def _value(reader: Bits, entry: int) -> tuple[int, int]:
+    """(run, value) of a code whose value reaches beyond the 16 bits that were looked up."""
+    if not entry:
+        raise Damaged("a code that is in no table")
+    entry >>= 5
+    reader.take(entry & 31)
+    return entry >> 5 & 15, reader.signed(entry >> 9)
+
+
+def _blocks(reader: Bits, comps: list[tuple[Component, tuple | None, tuple | None]], places: list[list[int]], low: int, progressive: bool) -> None:
+    """The units of an interval, block by block: DC values, and in sequential pictures AC values after them."""
     before = [0] * len(comps)
-    run = 0
-    for unit in range(wide * tall):
-        if every and unit and unit % every == 0:
-            if unit // every >= len(parts):
-                raise Damaged("a restart interval is missing")
-            reader, before, run = Bits(parts[unit // every]), [0] * len(comps), 0
-        y, x = divmod(unit, wide)
-        for n, (comp, dc, ac) in enumerate(comps):
-            if single:
-                places = [y * comp.wide + x]
-            else:
-                places = [(y * comp.v + j) * comp.wide + x * comp.h + i for j in range(comp.v) for i in range(comp.h)]
-            for place in places:
-                block = comp.blocks[place]
-                if not progressive or start == 0:
-                    if high:
-                        if reader.take(1):
-                            block[0] |= plus
-                    else:
-                        before[n] += reader.signed(reader.symbol(dc))
-                        block[0] = before[n] * plus
-                    if progressive:
-                        continue
-                k = max(start, 1)
-                if not high:
-                    if run:
-                        run -= 1
-                        continue
-                    while k <= stop:
-                        zeros, size = divmod(reader.symbol(ac), 16)
-                        if size:
-                            k += zeros
-                            if k > 63:
-                                raise Damaged("a run beyond its block")
-                            block[ZIGZAG[k]] = reader.signed(size) * plus
-                            k += 1
-                        elif zeros == 15:
-                            k += 16
-                        else:
-                            if progressive:
-                                run = (1 << zeros) - 1 + reader.take(zeros)
-                            break
+    order = [(n, comp.flat, dc, ac, where, len(where) // len(places[-1])) for n, ((comp, dc, ac), where) in enumerate(zip(comps, places[:-1]))]
+    for unit in range(len(places[-1])):
+        for n, flat, dc, ac, where, each in order:
+            for i in range(unit * each, unit * each + each):
+                base = where[i] * 64
+                if reader.n < 16:
+                    reader.fill()
+                entry = dc[1][reader.acc >> (reader.n - 16) & 0xFFFF]
+                if entry & 31:
+                    reader.n -= entry & 31
+                    before[n] += entry >> 9
+                else:
+                    before[n] += _value(reader, entry)[1]
+                flat[base] = before[n] << low
+                if progressive:
                     continue
-                if not run:
-                    while k <= stop:
-                        zeros, size = divmod(reader.symbol(ac), 16)
-                        value = 0
-                        if size:
-                            value = plus if reader.take(1) else minus
-                        elif zeros < 15:
-                            run = (1 << zeros) + reader.take(zeros)
-                            break
-                        while k <= stop:
-                            at = ZIGZAG[k]
-                            if now := block[at]:
-                                if reader.take(1) and not abs(now) & plus:
-                                    block[at] = now + (plus if now > 0 else minus)
-                            elif zeros == 0:
-                                break
-                            else:
-                                zeros -= 1
-                            k += 1
-                        if value and k <= stop:
-                            block[ZIGZAG[k]] = value
-                        k += 1
-                if run:
-                    while k <= stop:
-                        at = ZIGZAG[k]
-                        if (now := block[at]) and reader.take(1) and not abs(now) & plus:
-                            block[at] = now + (plus if now > 0 else minus)
+                k = 1
+                while k < 64:
+                    if reader.n < 16:
+                        reader.fill()
+                    entry = ac[0][reader.acc >> (reader.n - 16) & 0xFFFF]
+                    if entry & 31:
+                        reader.n -= entry & 31
+                        zeros, value = entry >> 5 & 15, entry >> 9
+                    else:
+                        zeros, value = _value(reader, entry)
+                    if value:
+                        k += zeros
+                        if k > 63:
+                            raise Damaged("a run beyond its block")
+                        flat[base + k] = value
                         k += 1
-                    run -= 1
+                    elif zeros == 15:
+                        k += 16
+                    else:
+                        break
 
 
-def decode(data: bytes) -> np.ndarray:
-    """A (height, width, 3) array of bytes; raises Damaged."""
+def _first(reader: Bits, flat: array, where: list[int], ac: array, start: int, stop: int, low: int) -> None:
+    """The first scan of a band. A run of blocks without further values is passed over at once."""
+    acc, n, p, data = reader.acc, reader.n, reader.p, reader.data
+    at, count, limit = 0, len(where), len(data) - 6
+    while at < count:
+        base = where[at] * 64
+        at += 1
+        k = start
+        while k <= stop:
+            if n < 16:
+                if p > limit:
+                    raise Damaged(EARLY)
+                acc = (acc & ((1 << n) - 1)) << 48 | int.from_bytes(data[p : p + 6])
+                p += 6
+                n += 48
+            entry = ac[acc >> (n - 16) & 0xFFFF]
+            if length := entry & 31:
+                n -= length
+                zeros, value = entry >> 5 & 15, entry >> 9
+            else:
+                reader.acc, reader.n, reader.p = acc, n, p
+                zeros, value = _value(reader, entry)
+                acc, n, p = reader.acc, reader.n, reader.p
+            if value:
+                k += zeros
+                if k > stop:
+                    raise Damaged("a run beyond its band")
+                flat[base + k] = value << low
+                k += 1
+            elif zeros == 15:
+                k += 16
+            else:
+                reader.acc, reader.n, reader.p = acc, n, p
+                at += (1 << zeros) - 1 + (reader.take(zeros) if zeros else 0)
+                acc, n, p = reader.acc, reader.n, reader.p
+                break
+    reader.acc, reader.n, reader.p = acc, n, p
+    if at > count:
+        raise Damaged("a run beyond its scan")
+
+
+def _refine(reader: Bits, flat: array, where: list[int], ac: array, start: int, stop: int, low: int) -> None:
+    """One more bit for a band. In a run of blocks without new values the bits of all old values are taken at once."""
+    plus = 1 << low
+    view = np.frombuffer(flat, np.int16).reshape(-1, 64)
+    at, count = 0, len(where)
+    while at < count:
+        base = where[at] * 64
+        k, run = start, 0
+        while k <= stop:
+            if reader.n < 16:
+                reader.fill()
+            entry = ac[reader.acc >> (reader.n - 16) & 0xFFFF]
+            if entry & 31:
+                reader.n -= entry & 31
+                zeros, value = entry >> 5 & 15, entry >> 9
+            else:
+                zeros, value = _value(reader, entry)
+            if not value and zeros < 15:
+                run = (1 << zeros) + (reader.take(zeros) if zeros else 0)
+                break
+            if value not in (-1, 0, 1):
+                raise Damaged("a refinement by more than a bit")
+            place, end = base + k, base + stop + 1
+            while place < end:
+                now = flat[place]
+                if now:
+                    if not reader.n:
+                        reader.fill()
+                    reader.n -= 1
+                    if reader.acc >> reader.n & 1 and not abs(now) & plus:
+                        flat[place] = now + plus if now > 0 else now - plus
+                elif zeros:
+                    zeros -= 1
+                else:
+                    break
+                place += 1
+            if value:
+                if place >= end:
+                    raise Damaged("a run beyond its band")
+                flat[place] = value << low
+            k = place - base + 1
+        if not run:
+            at += 1
+            continue
+        if at + run > count:
+            raise Damaged("a run beyond its scan")
+        for rows, begin in ((where[at : at + 1], k), (where[at + 1 : at + run], start)):
+            if not rows or begin > stop:
+                continue
+            block = view[rows, begin : stop + 1]
+            old = np.nonzero(block)
+            bits = reader.many(len(old[0])).astype(bool)
+            now = block[old]
+            block[old] = np.where(bits & (np.abs(now) & plus == 0), now + np.sign(now) * np.int16(plus), now)
+            view[rows, begin : stop + 1] = block
+        at += run
+
+
+@lru_cache(32)
+def _order(across: int, down: int, h: int, v: int, wide: int) -> np.ndarray:
+    """The places of a component's blocks in the order of a scan over units of h x v blocks."""
+    y, x = np.arange(down)[:, None, None, None], np.arange(across)[None, :, None, None]
+    j, i = np.arange(v)[None, None, :, None], np.arange(h)[None, None, None, :]
+    return ((y * v + j) * wide + x * h + i).ravel()
+
+
+def _scan(parts: list[bytes], comps: list[tuple[Component, tuple | None, tuple | None]], across: int, down: int, every: int, band: tuple[int, int], high: int, low: int, progressive: bool) -> None:
+    """Adds one scan to the coefficients of its components."""
+    start, stop = band
+    if len(comps) == 1:
+        comp = comps[0][0]
+        wide, tall = comp.own_wide, comp.own_high
+        orders = [_order(wide, tall, 1, 1, comp.wide)]
+    else:
+        wide, tall = across, down
+        if progressive and start:
+            raise Damaged("a band of several components")
+        orders = [_order(across, down, comp.h, comp.v, comp.wide) for comp, _, _ in comps]
+    units = wide * tall
+    step = every or units
+    if -(-units // step) > len(parts):
+        raise Damaged("a restart interval is missing")
+    for number, first in enumerate(range(0, units, step)):
+        size = min(step, units - first)
+        reader = Bits(parts[number])
+        own = [o[first * len(o) // units : (first + size) * len(o) // units] for o in orders]
+        if progressive and start:
+            comp, _, ac = comps[0]
+            (_refine if high else _first)(reader, comp.flat, own[0].tolist(), ac[0], start, stop, low)
+        elif high:
+            each = [len(o) // size for o in own]
+            bits = reader.many(size * sum(each)).reshape(size, -1).astype(np.int16) << low
+            done = 0
+            for (comp, _, _), where, n in zip(comps, own, each):
+                comp.blocks()[where, 0] |= bits[:, done : done + n].ravel()
+                done += n
+        else:
+            _blocks(reader, comps, [*(o.tolist() for o in own), list(range(size))], low, progressive)
+        reader.done()
+
+
+def decode(data: bytes, most: int = MOST) -> np.ndarray:
+    """A (height, width, 3) array of bytes; raises Damaged, whatever is wrong with the data."""
     try:
-        return _decode(data)
-    except (IndexError, TypeError, KeyError) as error:
-        raise Damaged(f"not a whole picture: {error}") from error
+        return _decode(data, most)
+    except (IndexError, TypeError, KeyError, ValueError, ZeroDivisionError, OverflowError) as error:
+        raise error if isinstance(error, Damaged) else Damaged(f"not a whole picture: {error}") from error
+
+
+def _samples(comp: Component, quant: np.ndarray, step: int = 8192) -> np.ndarray:
+    """The plane of a component: its blocks dequantised and inverse-transformed, some thousands at once."""
+    blocks, out = comp.blocks(), np.empty((comp.high * comp.wide, 8, 8), np.uint8)
+    both = WAVES * quant[:, None].astype(np.float32)
+    for low in range(0, len(blocks), step):
+        found = blocks[low : low + step].astype(np.float32) @ both + np.float32(128)
+        out[low : low + step] = np.clip(np.round(found), 0, 255).astype(np.uint8).reshape(-1, 8, 8)
+    return out.reshape(comp.high, comp.wide, 8, 8).swapaxes(1, 2).reshape(comp.high * 8, comp.wide * 8)
+
+
+def _widen(plane: np.ndarray, comp: Component, rows: np.ndarray, width: int, height: int, h: int, v: int) -> np.ndarray:
+    """Rows of a component's plane at full resolution: halved components are interpolated by a triangle filter (three
+    parts of the nearer sample, one of the next), those of other factors are repeated."""
+    wide, tall = -(-width * comp.h // h), -(-height * comp.v // v)
+    if comp.h * 2 != h or v not in (comp.v, comp.v * 2) or wide < 3:
+        return plane[rows * comp.v // v][:, np.arange(width) * comp.h // h]
+    if v == comp.v:
+        near, odd, even, shift = plane[rows, :wide].astype(np.int32), 2, 1, 2
+    else:
+        far = np.clip(rows // 2 + np.where(rows % 2, 1, -1), 0, tall - 1)
+        near, odd, even, shift = 3 * plane[rows // 2, :wide].astype(np.int32) + plane[far, :wide], 7, 8, 4
+    sides = np.pad(near, ((0, 0), (1, 1)), mode="edge")
+    out = np.empty((len(rows), 2 * wide), np.uint8)
+    out[:, 0::2] = (3 * near + sides[:, :-2] + even) >> shift
+    out[:, 1::2] = (3 * near + sides[:, 2:] + odd) >> shift
+    return out[:, :width]
 
 
-def _decode(data: bytes) -> np.ndarray:
+def _decode(data: bytes, most: int) -> np.ndarray:
     if data[:2] != b"\xff\xd8":
         raise Damaged("not a JPEG stream")
     quants: dict[int, np.ndarray] = {}
-    tables: dict[tuple[int, int], list] = {}
+    tables: dict[tuple[int, int], tuple] = {}
     comps: dict[int, Component] = {}
     height = width = across = down = every = scans = 0
     progressive, adobe, ended, at = False, None, False, 2
@@ -223,11 +393,8 @@ def _decode(data: bytes) -> np.ndarray:
             p = 0
             while p < len(body):
                 wide, ident = body[p] >> 4, body[p] & 15
-                values = np.frombuffer(body[p + 1 : p + 1 + 64 * (wide + 1)], ">u2" if wide else "u1")
-                quant = np.zeros(64)
-                quant[ZIGZAG] = values
-                quants[ident] = quant
-                p += 1 + 64 * (wide + 1)
+                quants[ident] = np.frombuffer(body, ">u2" if wide else "u1", 64, p + 1).astype(np.int64)
+                p += 1 + 64 * (2 if wide else 1)
         elif kind == 0xC4:
             p = 0
             while p < len(body):
@@ -246,12 +413,19 @@ def _decode(data: bytes) -> np.ndarray:
             for n in range(body[5]):
                 ident, factors, quant = body[6 + 3 * n : 9 + 3 * n]
                 comps[ident] = Component(ident, factors >> 4, factors & 15, quant)
+            if len(comps) != body[5]:
+                raise Damaged("two components of one name")
             h, v = max(c.h for c in comps.values()), max(c.v for c in comps.values())
             across, down = -(-width // (8 * h)), -(-height // (8 * v))
             for c in comps.values():
                 c.wide, c.high = across * c.h, down * c.v
                 c.own_wide, c.own_high = -(-(-(-width * c.h // h)) // 8), -(-(-(-height * c.v // v)) // 8)
-                c.blocks = [[0] * 64 for _ in range(c.wide * c.high)]
+            if height * width > most:
+                raise Damaged(f"more than {most} pixels")
+            if sum(c.own_wide * c.own_high for c in comps.values()) > 8 * len(data):
+                raise Damaged("fewer bits than blocks")  # each block has a DC code of one bit at least
+            for c in comps.values():
+                c.allocate()
         elif 0xC3 <= kind <= 0xCF:
             raise Damaged("a kind of coding that isn't supported")
         elif kind == 0xDA:
@@ -259,7 +433,7 @@ def _decode(data: bytes) -> np.ndarray:
             while True:
                 p = data.find(b"\xff", p)
                 if p < 0 or p + 1 >= len(data):
-                    raise Damaged("the data of a scan end early")
+                    raise Damaged(EARLY)
                 after = data[p + 1]
                 if after == 0:
                     p += 2
@@ -275,26 +449,28 @@ def _decode(data: bytes) -> np.ndarray:
             n = body[0]
             named = [(comps[body[1 + 2 * i]], tables.get((0, body[2 + 2 * i] >> 4)), tables.get((1, body[2 + 2 * i] & 15))) for i in range(n)]
             start, stop, approx = body[1 + 2 * n : 4 + 2 * n]
-            _scan(parts, named, across, down, every, (start, min(stop, 63)) if progressive else (0, 63), approx >> 4 if progressive else 0, approx & 15 if progressive else 0, progressive)
+            if not named or progressive and (start > stop or stop > 63 or approx & 15 > 13):
+                raise Damaged("a scan of nothing")
+            band = (start, stop) if progressive else (0, 63)
+            _scan(parts, named, across, down, every, band, approx >> 4 if progressive else 0, approx & 15 if progressive else 0, progressive)
             scans += 1
     if not comps or not scans or not ended:
         raise Damaged("the picture isn't whole")
-    planes = []
     h, v = max(c.h for c in comps.values()), max(c.v for c in comps.values())
-    for c in comps.values():
-        blocks = np.array(c.blocks, float) * quants[c.quant]
-        samples = np.einsum("ku,nkl,lv->nuv", BASIS, blocks.reshape(-1, 8, 8), BASIS) + 128
-        plane = samples.reshape(c.high, c.wide, 8, 8).swapaxes(1, 2).reshape(c.high * 8, c.wide * 8)
-        rows, columns = np.arange(height) * c.v // v, np.arange(width) * c.h // h
-        planes.append(np.clip(np.round(plane), 0, 255)[rows][:, columns])
-    if len(planes) == 1:
-        rgb = np.repeat(planes[0][:, :, None], 3, axis=2)
-    elif adobe == 0:
-        rgb = np.stack(planes, axis=2)
-    else:
-        y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
-        rgb = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], axis=2)
-    return np.clip(np.round(rgb), 0, 255).astype(np.uint8)
+    planes = [(_samples(c, quants[c.quant]), c) for c in comps.values()]
+    rgb = np.empty((height, width, 3), np.uint8)
+    for low in range(0, height, 256):  # chroma is brought to full resolution strip by strip
+        rows = np.arange(low, min(low + 256, height))
+        full = [_widen(plane, c, rows, width, height, h, v) for plane, c in planes]
+        if len(full) == 1:
+            rgb[rows] = full[0][:, :, None]
+        elif adobe == 0:
+            rgb[rows] = np.stack(full, axis=2)
+        else:
+            y, cb, cr = full[0].astype(np.float32), full[1].astype(np.float32) - 128, full[2].astype(np.float32) - 128
+            found = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], axis=2)
+            rgb[rows] = np.clip(np.round(found), 0, 255).astype(np.uint8)
+    return rgb
 
 
 class Writer:
@@ -465,7 +641,7 @@ def media_column(df: DataFrame, id_column: str, vector_column: str) -> DataFrame
     return kept.mapInArrow(run, "id long, media binary").withColumnRenamed("id", id_column)
 
 
-def decode_column(df: DataFrame, id_column: str, media_column: str = "media", step: int = 64) -> DataFrame:
+def decode_column(df: DataFrame, id_column: str, media_column: str = "media", step: int = 64, most: int = MOST) -> DataFrame:
     """RGB tensors of a media column; a single narrow stage whose batches are cut small, as tensors are large."""
     tune(df.sparkSession)
     kept = df.select(F.col(id_column).cast("long").alias("id"), F.col(media_column).cast("binary").alias("media"))
@@ -480,7 +656,7 @@ def decode_column(df: DataFrame, id_column: str, media_column: str = "media", st
                         rows.append((None, None, None, None, None))
                         continue
                     try:
-                        rgb = decode(media)
+                        rgb = decode(media, most)
                         rows.append((*rgb.shape, rgb.tobytes(), None))
                     except Damaged as error:
                         rows.append((None, None, None, None, str(error)))

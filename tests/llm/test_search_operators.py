@@ -293,12 +293,49 @@ def luma(rgb):
 def test_pictures_equal_the_virtual_machines(spark, height, width):
     rgb = picture(height, width)
     for data in (jpeg.encode(rgb), virtual_machine_encode(spark, rgb, True), virtual_machine_encode(spark, rgb, False)):
-        mine, other = jpeg.decode(data), virtual_machine_decode(spark, data)
+        mine, other = jpeg.decode(data).astype(int), virtual_machine_decode(spark, data).astype(int)
         assert mine.shape == (height, width, 3)
-        assert np.abs(luma(mine) - luma(other)).mean() < 1.5  # chroma is repeated here and smoothed there
+        assert np.abs(mine - other).max() <= 3 and (mine.size < 50 or np.abs(mine - other).mean() < 0.5)  # all three channels; rounding differs
         assert np.abs(luma(mine) - luma(rgb)).mean() < 8
 
 
+def test_damaged_pictures_raise_nothing_else():
+    rng = random.Random(5)
+    good = [jpeg.encode(picture(24, 19)), jpeg.encode(picture(40, 50))]
+    for i in range(2000):
+        data = bytearray(good[i % 2])
+        for _ in range(rng.randrange(1, 5)):
+            at, kind = rng.randrange(len(data)), rng.randrange(4)
+            if kind < 2:
+                data[at] = rng.randrange(256)
+            elif kind == 2:
+                del data[at]
+            elif rng.random() < 0.2:
+                del data[at + 1 :]
+        try:
+            assert jpeg.decode(bytes(data)).dtype == np.uint8
+        except jpeg.Damaged:
+            pass
+
+
+def test_a_header_alone_allocates_nothing():
+    data = jpeg.encode(picture(24, 19))
+    at = data.index(b"\xff\xc2") + 5
+    huge = data[:at] + b"\xff\xff\xff\xff" + data[at + 4 :]
+    with pytest.raises(jpeg.Damaged, match="pixels"):
+        jpeg.decode(huge)
+    with pytest.raises(jpeg.Damaged, match="blocks"):
+        jpeg.decode(data[:at] + b"\x10\0\x10\0" + data[at + 4 :])
+
+
+def test_a_large_picture_of_many_batches(spark):
+    rgb = picture(130, 210)
+    data = jpeg.encode(rgb)
+    assert np.abs(jpeg.decode(data).astype(int) - virtual_machine_decode(spark, data)).max() <= 3
+    rgb = picture(600, 900)  # more blocks than are transformed at once
+    assert np.abs(luma(jpeg.decode(jpeg.encode(rgb))) - luma(rgb)).mean() < 8
+
+
 def test_grey_pictures_are_exact(spark):
     grey = np.repeat(picture(20, 28)[:, :, :1], 3, axis=2)
     data = jpeg.encode(grey)
