@@ -27,6 +27,19 @@ def tune(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df has in no spelling."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def named(df: DataFrame, name: str) -> int | None:
+    """The place of a column by its name, in whichever spelling; None where there is none."""
+    return next((i for i, c in enumerate(df.columns) if c.lower() == name.lower()), None)
+
+
 def schema(fields: dict[str, str]) -> str:
     return "bucket int, " + ", ".join(f"{name} binary" for name in fields)
 

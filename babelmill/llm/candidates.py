@@ -1,9 +1,18 @@
 """From shared keys to verified groups, without listing the square of a key's holders.
 
 Texts that share a key form a key group. First every member is compared with the group's smallest member; the pairs
-that hold are joined into components. What then remains are members of one key group in different components: all
-such pairs are compared too, but those of the first step. So two texts that share a key end in one component exactly
-if a chain of verified pairs joins them, while a group of n near copies costs about n comparisons a key, not n squared.
+that hold are joined into components. What then remains are key groups whose members lie in different components.
+
+* In a group of at most ``SMALL`` members all pairs of different components are compared: at most SMALL / 2 a member.
+* The members of larger groups are matched by prefixes: ordered from rare to frequent, two sets with a Jaccard index of
+  t and sizes x and y must meet in the first x - ceil(t x) + 1 elements of one and y - ceil(t y) + 1 of the other, and
+  where they meet first, enough of both must be left to reach the overlap that the index needs. So texts made from one
+  template, of which all share the template and few anything else, are paired by what they alone hold, and the pairs
+  grow with the texts. That test is exact: only pairs between the threshold and what the bounds can tell apart from
+  it are compared in vain.
+
+So two texts that share a key end in one component exactly if a chain of verified pairs joins them, while a group of n
+near copies costs about n comparisons a key, not n squared.
 """
 
 from __future__ import annotations
@@ -18,21 +27,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .blobs import exchange, unpack
+from .blobs import by_text, exchange, unpack
 from .components import components
-from .text import mix
+from .text import U, mix, runs
 
 @dataclass(frozen=True)
 class Sets:
     """How a text becomes an exact set, and the sizes that a Jaccard index needs."""
 
     make: Callable[[str], Any]
+    elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]  # (text index, hash of an element), each once
     size: Callable[[Any], int] = len
     overlap: Callable[[Any, Any], int] = lambda x, y: len(x & y)
 
 
 FIELDS = {"key": "<u8", "member": "<i8"}
 PER_SALT = 4000  # members of one leader that a task compares
+SMALL = 16  # members of a key group of which all pairs are compared
+SLOTS, PARTS = 1 << 20, 64  # counters of elements, which order them by frequency; and the rows that they are summed in
 
 
 def key_groups(sent: DataFrame, partitions: int) -> DataFrame:
@@ -98,25 +110,99 @@ def verified(pairs: DataFrame, items: DataFrame, partitions: int, sets: Sets, le
     return ready.mapInArrow(run, "a long, b long, jaccard double")
 
 
-def rest(groups: DataFrame, joined: DataFrame) -> DataFrame:
-    """(a, b) pairs of one key group that lie in different components and weren't compared with a leader."""
-    labelled = groups.join(joined.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member"))
-    mixed = labelled.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2").select("gid")
-    left = labelled.join(mixed, "gid").where("member <> leader")
-    right = left.select("gid", F.col("member").alias("b"), F.col("root").alias("root_b"))
-    pairs = left.select("gid", F.col("member").alias("a"), F.col("root").alias("root_a")).join(right, "gid")
-    return pairs.where("a < b and root_a <> root_b").select("a", "b").distinct()
+def frequencies(items: DataFrame, partitions: int, sets: Sets) -> np.ndarray:
+    """How often elements occur, by the slot of their hash: SLOTS counters, whatever the size of the input.
+
+    The counters only set an order of elements, so that elements that share a slot cost comparisons and lose nothing.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
 
+        def add(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+            nonlocal total
+            total += np.bincount((sets.elements(texts)[1] >> U(44)).astype(np.int64), minlength=SLOTS)
+            return iter(())
 
-def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float, prune: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(node, root) of the verified components, and the verified (a, b, jaccard) pairs that join them."""
+        for _ in by_text(add)(batches):
+            pass
+        parts = total.reshape(PARTS, -1)
+        held = np.flatnonzero(parts.any(axis=1))
+        if len(held):
+            yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array([parts[i].tobytes() for i in held.tolist()])], names=["part", "counts"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()])], names=["part", "counts"])
+
+    counted = items.mapInArrow(count, "part int, counts binary").repartition(min(partitions, PARTS), "part").mapInArrow(add_up, "part int, counts binary")
+    out = np.zeros((PARTS, SLOTS // PARTS), np.int64)
+    for row in counted.collect():
+        out[row["part"]] = np.frombuffer(row["counts"], np.int64)
+    return np.minimum(out.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def prefixes(text: np.ndarray, element: np.ndarray, frequency: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+    """(text, element, place, size) of the elements in the prefix of each set, from the rarest on; places count from 0."""
+    order = np.lexsort((element, frequency[(element >> U(44)).astype(np.int64)], text))
+    text, element = text[order], element[order]
+    sizes = np.bincount(text)
+    sizes = sizes[sizes > 0]
+    place, size = runs(sizes), np.repeat(sizes, sizes)
+    kept = place <= size - np.ceil(least * size - 1e-9)
+    return text[kept], element[kept], place[kept], size[kept]
+
+
+def by_prefix(members: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:
+    """(a, b) pairs of members (member, root) of different roots that may reach the index; misses none that does."""
+    own = cut(members.join(items.select("id", "text"), members["member"] == items["id"]).select("id", "text", "root"))
+    frequency = items.sparkSession.sparkContext.broadcast(frequencies(own.select("id", "text"), partitions, sets))
+
+    def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        text, element, place, size = prefixes(*sets.elements(texts), frequency.value, least)
+        columns = [np.array(ids, np.int64)[text], element.view(np.int64), place.astype(np.int32), size.astype(np.int32)]
+        for low in range(0, len(text), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[low : low + (1 << 16)]) for c in columns], names=["id", "element", "place", "size"])
+
+    found = own.select("id", "text").mapInArrow(by_text(send), "id long, element long, place int, size int")
+    rows = cut(found.join(own.select("id", "root"), "id"))
+    mixed = rows.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("element")
+    left = rows.join(mixed, "element", "left_semi")
+    a = left.select("element", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("place").alias("place_a"), F.col("size").alias("size_a"))
+    b = left.select("element", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("place").alias("place_b"), F.col("size").alias("size_b"))
+    reach = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = F.least("size_a", "size_b") >= least * F.greatest("size_a", "size_b") - 1e-6
+    met = a.join(b, "element").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough)
+    return met.where(reach >= least / (1 + least) * (F.col("size_a") + F.col("size_b")) - 1e-6).select("a", "b").distinct()
+
+
+def rest(groups: DataFrame, joined: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:
+    """(a, b) pairs of texts of mixed key groups that lie in different components and may reach the index."""
+    labelled = groups.join(joined.withColumnRenamed("node", "member"), "member", "left").withColumn("root", F.coalesce("root", "member"))
+    mixed = labelled.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2").select("gid", "n")
+    left = cut(labelled.where("member <> leader").join(mixed, "gid").select("gid", "member", "root", "n"))
+    few = left.where(F.col("n") <= SMALL)
+    right = few.select("gid", F.col("member").alias("b"), F.col("root").alias("root_b"))
+    pairs = few.select("gid", F.col("member").alias("a"), F.col("root").alias("root_a")).join(right, "gid")
+    pairs = pairs.where("a < b and root_a <> root_b").select("a", "b")
+    many = left.where(F.col("n") > SMALL).select("member", "root").distinct()
+    if many.isEmpty():
+        return pairs.distinct()
+    return pairs.unionAll(by_prefix(many, items, partitions, sets, least)).distinct()
+
+
+def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float, prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(node, root) of the verified components."""
     narrow = (lambda pairs: cut(prune(pairs))) if prune else (lambda pairs: pairs)  # written, as verified() reads its pairs twice
     stars = groups.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
     first = cut(verified(narrow(stars), items, partitions, sets, least))
     joined = components(first)
-    left = rest(groups, joined)
+    left = rest(groups, joined, items, partitions, sets, least)
     others = cut(prune(left) if prune else left)
     if others.isEmpty():
-        return joined, first
-    edges = first.unionAll(cut(verified(others, items, partitions, sets, least)))
-    return components(edges), edges
+        return joined
+    return components(first.unionAll(cut(verified(others, items, partitions, sets, least))))

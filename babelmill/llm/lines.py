@@ -95,6 +95,23 @@ def line_shingles(line: str, k: int = K) -> set:
     return {line[i : i + k] for i in range(len(line) - k + 1)} or {line}
 
 
+def hashed_shingles(texts: list[str], k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """(line index, hash of a shingle), each once; lines of fewer than k characters have none, as they match no other."""
+    c, offsets = codes(texts)
+    n = len(c) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, U)
+    begin = np.arange(n)
+    which = np.searchsorted(offsets, begin, "right") - 1
+    inside = begin + k <= offsets[which + 1]
+    begin, which = begin[inside], which[inside]
+    h = span_hash(prefix(c), begin, begin + k)
+    order = np.lexsort((h, which))
+    h, which = h[order], which[order]
+    once = np.append(True, (h[1:] != h[:-1]) | (which[1:] != which[:-1]))[: len(h)]
+    return which[once], h[once]
+
+
 def packed_shingles(line: str, k: int = K) -> tuple[np.ndarray, frozenset]:
     """The exact shingle set in two parts: eight characters of one byte each are packed into a whole number (sorted, each
     once); shingles with a wider character, those of other lengths and short lines stay text."""
@@ -147,7 +164,7 @@ def like_lines(docs: DataFrame, least: float = LEAST, k: int = K, bands: int = B
     needed = groups.select(F.col("member").alias("id")).distinct()
     lines = docs.mapInArrow(by_text(spell), "id long, text string").join(needed, "id", "left_semi")
     items = cut(lines.groupBy("id").agg(F.min("text").alias("text")))
-    return grouped(groups, items, partitions, Sets(lambda line: packed_shingles(line, k), packed_size, packed_overlap), least)[0]
+    return grouped(groups, items, partitions, Sets(lambda line: packed_shingles(line, k), lambda lines: hashed_shingles(lines, k), packed_size, packed_overlap), least)
 
 
 def duplicate_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = LEAST, k: int = K, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

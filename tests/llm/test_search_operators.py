@@ -7,8 +7,9 @@ import duckdb
 import numpy as np
 import pytest
 
-from babelmill.llm import jaccard, jpeg, lines, packing, superkmers
+from babelmill.llm import candidates, grams, jaccard, jpeg, lines, packing, superkmers, tiles
 from babelmill.llm.components import components
+from babelmill.llm.text import mix
 
 from .rows import SCHEMA, frame, words
 
@@ -62,8 +63,10 @@ def test_jaccard_groups_against_brute_force(spark):
     want = {(i, r) for i, r in root.items() if list(root.values()).count(r) > 1}
     got = {(r["doc_id"], r["group_id"]) for r in rows}
     assert len(got & want) >= 0.97 * len(want) and not got - want
-    for r in rows:
-        assert r["jaccard"] == pytest.approx(index[tuple(sorted((r["doc_id"], r["partner_id"])))]) and r["jaccard"] >= jaccard.LEAST
+    partners = {i: [(-j, b if a == i else a) for (a, b), j in index.items() if i in (a, b) and j >= jaccard.LEAST] for i in texts}
+    for r in rows:  # within a group no link is lost, and the partner is the closest of all
+        assert r["links"] == len(partners[r["doc_id"]])
+        assert (pytest.approx(-r["jaccard"]), r["partner_id"]) == min(partners[r["doc_id"]])
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
     gone = {i for i, r in got if i != r}
@@ -78,6 +81,64 @@ def test_jaccard_on_odd_rows(spark):
     assert jaccard.duplicate_groups(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_links_count_copies(spark):
+    base = words(120, 7)
+    texts = {i: base for i in range(5)} | {i: edited(base, 0.03, i) for i in range(5, 9)} | {9: edited(base, 0.03, 5), 10: words(120, 8)}
+    found = {r["doc_id"]: r for r in jaccard.duplicate_groups(frame(spark, texts.items())).collect()}
+    sets = {i: jaccard.word_ngrams(t) for i, t in texts.items()}
+    for i in texts:
+        linked = [j for j in texts if j != i and len(sets[i] & sets[j]) >= jaccard.LEAST * len(sets[i] | sets[j])]
+        assert found[i]["links"] == len(linked) if linked else i not in found
+    assert found[0]["partner_id"] == 1 and found[3]["partner_id"] == 0 and found[3]["jaccard"] == 1
+
+
+def test_groups_of_several_tiles(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "CHUNK_BYTES", 4000)
+    base = words(100, 17)
+    texts = {i: edited(base, 0.02 + 0.02 * (i % 4), i) for i in range(60)}
+    sets = {i: jaccard.word_ngrams(t) for i, t in texts.items()}
+    rows = jaccard.duplicate_groups(frame(spark, texts.items())).collect()
+    assert len(rows) > 50
+    for r in rows:
+        i = r["doc_id"]
+        near = [(-len(sets[i] & sets[j]) / len(sets[i] | sets[j]), j) for j in texts if j != i]
+        assert r["links"] == sum(-x >= jaccard.LEAST for x, _ in near) and r["partner_id"] == min(near)[1]
+
+
+@pytest.mark.parametrize("least", [0.55, 0.7, 0.9])
+def test_prefixes_miss_no_pair(spark, least):
+    rng = random.Random(int(least * 100))
+    made = {}
+    for i in range(150):
+        old = rng.choice(list(made.values())) if made and rng.random() < 0.7 else words(rng.randrange(5, 60), i, 40)
+        made[i] = edited(old, rng.choice((0.0, 0.05, 0.2)), i)
+    sets = {i: jaccard.word_ngrams(t) for i, t in made.items()}
+    want = {(a, b) for a, b in itertools.combinations(made, 2) if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])}
+    how = candidates.Sets(jaccard.word_ngrams, lambda x: (lambda t, g: (t, mix(g, 13)))(*grams.gram_sets(x)))
+    items = spark.createDataFrame(list(made.items()), "id long, text string")
+    members = spark.createDataFrame([(i, i) for i in made], "member long, root long")
+    got = {(r["a"], r["b"]) for r in candidates.by_prefix(members, items, 4, how, least).collect()}
+    assert len(want) > 20 and want <= got and len(got) < 4 * len(want)
+
+
+def test_templated_lines_cost_no_square(spark, monkeypatch):
+    seen = []
+    plain = candidates.rest
+
+    def counted(*args):
+        seen.append(plain(*args).count())
+        return plain(*args)
+
+    monkeypatch.setattr(candidates, "rest", counted)
+    rng = random.Random(4)
+    for n in (800, 1600, 3200):
+        made = ["The record was updated by the user " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=24)) for _ in range(n)]
+        made[n // 2] = made[3][:-1] + "X"
+        got = {(r["doc_id"], r["line_no"]) for r in lines.duplicate_lines(frame(spark, [(1, "\n".join(made))])).collect()}
+        assert (1, n // 2) in got
+    assert all(b <= 2.2 * max(a, 50) for a, b in zip(seen, seen[1:]))
+
+
 def test_sketch_distance_bounds_the_difference():
     rng = np.random.default_rng(2)
     import pyarrow as pa
