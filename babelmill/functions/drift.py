@@ -90,6 +90,12 @@ def observed_schema(df: DataFrame, column: str) -> str:
     return df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"] or "VOID"
 
 
+def observed_schemas(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """The merged schemas of several JSON columns, in one pass."""
+    row = df.agg(*(F.schema_of_variant_agg(F.try_parse_json(c)).alias(c) for c in columns)).first()
+    return {c: row[c] or "VOID" for c in columns}
+
+
 def check(df: DataFrame, column: str, declared: str | T.DataType) -> None:
     """Raises SchemaDriftError unless every record of the column fits the declared type."""
     kind = T.DataType.fromDDL(declared) if isinstance(declared, str) else declared

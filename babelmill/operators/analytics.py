@@ -50,34 +50,64 @@ def elapsed(df: DataFrame, time: str) -> DataFrame:
     return df.crossJoin(F.broadcast(first)).withColumn("minutes", minutes).drop("_first")
 
 
-def cumulative(df: DataFrame, column: str, ties: str, partitions: int = 64) -> DataFrame:
-    """(value, rank, running) in ascending order over all rows, without a one-task window.
+def counted(df: DataFrame, column: str) -> DataFrame:
+    """(value, n): how often each value occurs; NULLs are left out. Combined before its exchange, so ties cost nothing."""
+    return df.select(F.col(column).alias("value")).where("value is not null").groupBy("value").agg(F.count("*").alias("n"))
 
-    Rows are range-partitioned and sorted once; each partition's total and count are summed to offsets (one row a
-    partition, broadcast), and windows run within partitions only.
+
+def cumulative(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
+    """(value, n, rank, running) of each distinct value in ascending order: how often it occurs, how many rows come before
+    its first, and their sum; without a one-task window over the rows.
+
+    Values are counted first, range-partitioned, and each partition's count and sum become offsets (one row a
+    partition, broadcast); windows run within partitions only.
     """
-    rows = df.select(F.col(column).alias("value"), F.col(ties).alias("_tie")).where("value is not null")
-    cuts = rows.agg(F.percentile_approx("value", F.array(*[F.lit(i / partitions) for i in range(1, partitions)]), 10_000).alias("_cuts"))
-    placed = rows.crossJoin(F.broadcast(cuts)).select("value", "_tie", F.size(F.filter("_cuts", lambda x: x < F.col("value"))).alias("_part"))
-    totals = placed.groupBy("_part").agg(F.sum("value").alias("_sum"), F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most ``partitions`` rows
+    spark = df.sparkSession
+    wide = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from ..session import cut
+
+    placed = cut(counted(df, column).repartitionByRange(wide, "value").select("value", "n", F.spark_partition_id().alias("_part")))
+    totals = placed.groupBy("_part").agg(F.sum(F.col("value") * F.col("n")).alias("_sum"), F.sum("n").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
     offsets = totals.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_seen"))
-    own = Window.partitionBy("_part").orderBy("value", "_tie")
-    joined = placed.join(F.broadcast(offsets), "_part")
-    return joined.select("value", (F.col("_seen") + F.row_number().over(own)).alias("rank"), (F.col("_base") + F.sum("value").over(own.rowsBetween(Window.unboundedPreceding, 0))).alias("running"))
+    own = Window.partitionBy("_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("_seen") + F.coalesce(F.sum("n").over(own), F.lit(0))
+    running = F.col("_base") + F.coalesce(F.sum(F.col("value") * F.col("n")).over(own), F.lit(0))
+    return placed.join(F.broadcast(offsets), "_part").select("value", "n", rank.alias("rank"), running.alias("running"))
 
 
-def gini(df: DataFrame, column: str, ties: str) -> DataFrame:
-    """(n, total, gini) by the trapezoids under the Lorenz curve, whose sum only needs each value's rank."""
-    ranked = cumulative(df, column, ties)
-    sums = ranked.agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.sum(F.col("value") * F.col("rank")).alias("weighted"))
+def gini(df: DataFrame, column: str) -> DataFrame:
+    """(n, total, gini) by the trapezoids under the Lorenz curve, from the origin on (so that equal values give 0).
+
+    Trapezoids that begin at the first value instead give a figure that is larger by about its share over n. The sum
+    only needs each value's ranks: n equal values after rank r have ranks r + 1 to r + n.
+    """
+    ranked = cumulative(df, column)
+    ranks = F.col("n") * F.col("rank") + F.col("n") * (F.col("n") + 1) / 2
+    sums = ranked.agg(F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("total"), F.sum(F.col("value") * ranks).alias("weighted"))
     gini_ = 2.0 * F.col("weighted") / (F.col("n") * F.col("total")) - (F.col("n") + 1.0) / F.col("n")
     return sums.select("n", "total", gini_.alias("gini"))
 
 
-def share_count(df: DataFrame, column: str, ties: str, percent: int = 80) -> DataFrame:
+def share_count(df: DataFrame, column: str, percent: int = 80) -> DataFrame:
     """(files, value, running): how many of the smallest rows reach the given percent of the total, and the last of them."""
-    ranked = cumulative(df, column, ties)
-    total = df.agg(F.sum(column).alias("_total"))
-    reached = ranked.crossJoin(F.broadcast(total)).where(F.col("running") * 100 >= F.col("_total") * percent)
-    return reached.agg(F.min(F.struct("rank", "value", "running")).alias("r")).select(F.col("r.rank").alias("files"), F.col("r.value").alias("value"), F.col("r.running").alias("running"))
+    ranked = cumulative(df, column)
+    total = ranked.agg(F.sum(F.col("value") * F.col("n")).alias("_total"))
+    end = F.col("running") + F.col("value") * F.col("n")
+    reached = ranked.crossJoin(F.broadcast(total)).where(end * 100 >= F.col("_total") * percent)
+    first = reached.agg(F.min(F.struct("value", "rank", "running", "_total")).alias("r")).select("r.*")
+    lacking = F.col("_total") * percent - F.col("running") * 100  # of the first value that reaches it, how many it takes
+    taken = F.when(F.col("value") == 0, 1).otherwise(F.greatest(F.ceil(lacking / (F.col("value") * 100)), F.lit(1))).cast("long")
+    return first.select((F.col("rank") + taken).alias("files"), "value", (F.col("running") + taken * F.col("value")).alias("running"))
+
+
+def numbered(df: DataFrame, order: str, name: str = "row") -> DataFrame:
+    """The rows with their number in ascending order of a column without ties, from 0: range partitions and offsets."""
+    from ..session import cut
+
+    placed = cut(df.orderBy(order).withColumn("_part", F.spark_partition_id()))
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_seen"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    return placed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_seen") + own).drop("_part", "_seen")

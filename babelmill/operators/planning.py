@@ -40,3 +40,8 @@ def prefetch(totals: DataFrame, current: int, ahead: int, budget: int, complete:
         head = head.join(complete.select("chunk"), "chunk", "left_anti")
     running = F.sum("size").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0))
     return head.select("chunk", "size", running.alias("running")).where(F.col("running") <= budget)
+
+
+def remaining(totals: DataFrame, budget: int) -> DataFrame:
+    """(chunk, size, left): what each chunk alone would leave of the budget, never less than nothing."""
+    return totals.select("chunk", "size", F.greatest(F.lit(budget) - F.col("size"), F.lit(0)).alias("left"))

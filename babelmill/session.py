@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,11 +52,27 @@ def ship(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the cluster's shared checkpoint folder.
 
-    The folder is the one in ``spark.checkpoint.dir``; only where the session names none (tests, a laptop)
-    is a local one made, so a lost executor never takes the rows with it.
+    The folder is the one in ``spark.checkpoint.dir``, so a lost executor never takes the rows with it. Where the
+    session names none, one is made for a local master and removed when Python ends; on a cluster that is an error.
     """
-    context = df.sparkSession.sparkContext
+    shared(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, which every executor reaches; it is set if it wasn't."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = context.getConf().get("spark.checkpoint.dir", "")
-        context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "babelmill-checkpoints"))
-    return df.checkpoint(eager=True)
+        if not named:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="babelmill-checkpoints-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, for tables that a query writes and reads again."""
+    return f"{shared(spark)}/table-{uuid.uuid4().hex}"

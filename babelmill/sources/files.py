@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import basename, chunk, chunk_glob, gigabytes, part
 from ..functions.schemas import ENTITY
 
+STRIDE = 611_953
 LISTING = "file string, size long, size_gb double"
 
 
@@ -38,6 +41,15 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> Dat
     return found.select(basename("path").alias("file"), F.col("length").alias("size"), gigabytes("length").alias("size_gb"))
 
 
+def paths(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, size) of the data files below a folder, names from the folder on; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    # paths come as the file system spells them; what follows the folder's own name is the file's
+    return found.select(F.expr(f"substr(path, instr(path, '{root.split(':', 1)[-1].lstrip('/')}') + {len(root.split(':', 1)[-1].lstrip('/'))} + 1)").alias("name"), F.col("length").alias("size"))
+
+
 def states(spark: SparkSession, pattern: str) -> DataFrame:
     """(file, step) of a folder of JSON-lines ledgers; a typed empty frame where there are none."""
     if not exists(spark, pattern):
@@ -49,14 +61,49 @@ def size_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="file string, size long, size_gb double")
 
 
-def demo_rows(spark: SparkSession, rows: int, shares: dict[str, float], files: int = 1) -> DataFrame:
-    """Synthetic (id, text, language) rows: the language of a row follows from a hash of its number, in given shares."""
-    bounds, total = [], 0.0
+#: Languages of the demonstration rows by their thousandths of all; English takes what is left over.
+DEMO = {
+    **{10: "en el th id ms vi", 80: "zh es", 60: "fr de", 40: "ja ru ar", 30: "pt it", 25: "ko hi nl", 20: "pl tr sv da no"},
+    **{15: "fi he cs hu", 5: "uk ca sk hr bg lt lv et sl mk"},
+}
+DEMO_SHARES = {language: thousandths / 1000 for thousandths, group in DEMO.items() for language in group.split()}
+
+
+def demo_rows(spark: SparkSession, rows: int = 9_000_000, shares: dict[str, float] = DEMO_SHARES, chunks: int = 9, filler: str = "en") -> DataFrame:
+    """Synthetic (id, text, language, chunk) rows in exact shares, shuffled and cut into chunks of equal size.
+
+    Each language has int(rows * share) rows, what is left is the filler's. The shuffle is a permutation by arithmetic:
+    place n holds the row n * STRIDE modulo the number of rows, for a stride that has no factor in common with it, so
+    nothing is sorted and every place is computed by itself.
+    """
+    stride = STRIDE
+    while math.gcd(stride, max(rows, 1)) > 1:
+        stride += 2
+    bounds, total = [], 0
     for language, share in shares.items():
-        total += share
+        total += int(rows * share + 1e-9)
         bounds.append((language, total))
-    draw = F.pmod(F.xxhash64("id", F.lit(42)), F.lit(1_000_000)) / 1_000_000 * total
-    language = F.lit(bounds[-1][0])
-    for name, bound in reversed(bounds[:-1]):
-        language = F.when(draw < bound, name).otherwise(language)
-    return spark.range(0, rows, 1, files).select(F.concat(F.lit("Q"), "id").alias("id"), F.concat(F.lit("text "), "id").alias("text"), language.alias("language"))
+    per_chunk = -(-rows // chunks)
+    at = (F.col("id") * F.lit(stride)) % F.lit(max(rows, 1))
+    language = F.lit(filler)
+    for name, bound in reversed(bounds):
+        language = F.when(at < bound, name).otherwise(language)
+    chunk_, place = F.floor(F.col("id") / per_chunk), F.col("id") % per_chunk
+    placed = spark.range(0, rows, 1, chunks).select(chunk_.alias("chunk"), place.alias("place"), language.alias("language"))
+    name = F.concat(F.lit("Q"), "chunk", F.lpad(F.col("place").cast("string"), 6, "0"))
+    text = F.concat(F.lit("Sample claim "), "place", F.lit(" in "), "language")
+    return placed.select(name.alias("id"), text.alias("text"), "language", "chunk")
+
+
+def write_demo(rows: DataFrame, folder: str, chunks: int) -> None:
+    """One data file a chunk, named as entity files are (``chunk_0-00000-of-00009.parquet``), each by a task of its own."""
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    rows.withColumn("part", F.col("chunk")).repartitionByRange(chunks, "chunk").write.mode("overwrite").partitionBy("part").parquet(f"{folder}/_made")
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for index in range(chunks):
+        for found in system.globStatus(path(f"{folder}/_made/part={index}/*.parquet")) or ():
+            name = path(f"{folder}/chunk_{index}-{index:05d}-of-{chunks:05d}.parquet")
+            system.delete(name, False)
+            system.rename(found.getPath(), name)
+    system.delete(path(f"{folder}/_made"), True)

@@ -7,6 +7,7 @@ import random
 import pytest
 
 from babelmill.functions import names
+from babelmill.functions.drift import SchemaDriftError
 from babelmill.functions.schemas import KEYS, Step
 from babelmill.operators import analytics, audit, ledger, planning, sink
 from babelmill.plans import run
@@ -55,16 +56,25 @@ def test_sources(spark, tmp_path):
             f.write(json.dumps({"step": i}) + "\n")
     assert rows(files.states(spark, f"{tmp_path}/state/*.jsonl"), "step") == [(0,), (1,), (2,)]
     assert files.states(spark, f"{tmp_path}/none/*.jsonl").columns == ["file", "step"]
-    spark.createDataFrame([("a", 1, 0.5)], files.LISTING).write.csv(f"{tmp_path}/sizes", header=True)
+    sink.write_sizes(spark.createDataFrame([("a", 1, 0.5)], files.LISTING), f"{tmp_path}/sizes")
     assert rows(files.size_table(spark, f"{tmp_path}/sizes")) == [("a", 1, 0.5)]
-    demo = files.demo_rows(spark, 20_000, {"en": 0.7, "fr": 0.3})
-    share = {r["language"]: r["percent"] for r in analytics.share(demo, "language").collect()}
-    assert share["en"] == pytest.approx(70, abs=2)
-    assert rows(demo.limit(5)) == rows(files.demo_rows(spark, 20_000, {"en": 0.7, "fr": 0.3}).limit(5))
+
+
+def test_demo_rows_have_exact_shares(spark, tmp_path):
+    assert len(files.DEMO_SHARES) == 37
+    demo = files.demo_rows(spark, 20_000, chunks=4)
+    share = {r["language"]: r["rows"] for r in analytics.distribution(demo, "language").collect()}
+    assert share == {k: int(20_000 * v + 1e-9) for k, v in files.DEMO_SHARES.items() if k != "en"} | {"en": 20_000 - sum(int(20_000 * v + 1e-9) for k, v in files.DEMO_SHARES.items() if k != "en")}
+    first = [r["language"] for r in demo.where("chunk = 0").limit(100).collect()]
+    assert len(set(first)) > 15 and demo.select("id").distinct().count() == 20_000
+    files.write_demo(demo, f"{tmp_path}/demo", 4)
+    assert sorted(os.listdir(f"{tmp_path}/demo"))[-1] == "chunk_3-00003-of-00004.parquet"
+    assert rows(spark.read.parquet(f"{tmp_path}/demo").groupBy("chunk").count()) == [(i, 5000) for i in range(4)]
+    assert files.demo_rows(spark, 0).count() == 0 and files.demo_rows(spark, 7, {"fr": 1 / 7}, 2).where("language = 'fr'").count() == 1
 
 
 def test_chunks_run_once_and_again(spark, tmp_path):
-    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    source, target, remote = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/remote"
     write_entities(spark, source, 0)
     write_entities(spark, source, 1, 1)
     assert run.run_all(spark, source, target) == [0, 1] and run.run_all(spark, source, target) == []
@@ -72,18 +82,78 @@ def test_chunks_run_once_and_again(spark, tmp_path):
     before = {t: read(t) for t in KEYS}
     assert {k for _, k, _ in before["labels"]} == {"en", "fr", "zh-hant", "01", "a/b"}
     assert len(before["claims"]) == 18 * 2 and len(before["links"]) == 18
-    bad = run.run_chunk(spark, source, target, 0, 9)
+    bad = run.run_chunk(spark, source, target, 0)
     assert bad == {"labels": 0, "descriptions": 2, "aliases": 0, "links": 0, "claims": 0}
     assert {t: read(t) for t in KEYS} == before
     assert run.check_chunk(spark, target, 0).count() == 0
     one = sink.read_partitions(spark, f"{target}/flat/labels").where("language = 'en'")
     assert "PartitionFilters: [isnotnull(language" in one._jdf.queryExecution().executedPlan().toString()
-    kept = sink.read_partitions(spark, f"{target}/flat/labels").where("language = 'fr' and id > 'Q03'")
-    assert kept.count()
-    sink.write_partitions(kept.limit(1).select("id", "language", "value", "source_file"), "language", f"{target}/flat/labels")
-    assert run.check_chunk(spark, target, 0).count() >= 1
-    sink.publish(spark, f"{target}/flat/links", f"{tmp_path}/published")
-    assert spark.read.parquet(f"{tmp_path}/published").count() == 18
+    assert run.run_all(spark, source, target, remote) == [0, 1] and run.run_all(spark, source, target, remote) == []
+    state = ledger.state(ledger.history(spark, f"{target}/ledger"))
+    assert rows(state.groupBy("step").count()) == [(int(Step.COMPLETE), 3)]
+    assert rows(spark.read.parquet(f"{remote}/links"), "id") == rows(spark.read.parquet(f"{target}/flat/links"), "id")
+    kept = sink.read_partitions(spark, f"{target}/flat/labels").where("language = 'fr' and source_file like 'chunk_0-00000%'")
+    sink.write_partitions(kept.orderBy("id").limit(1).select("id", "language", "value", "source_file"), "language", f"{target}/flat/labels")
+    assert rows(run.check_chunk(spark, target, 0), "table", "key", "rows_before", "rows_after") == [("labels", "fr", 4, 1)]
+    assert run.check_chunk(spark, target, 1).count() == 0
+
+
+def test_a_new_file_leaves_the_others_alone(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    write_entities(spark, source, 0, 1)
+    assert run.run_all(spark, source, target) == [0]
+    old = {f: os.stat(os.path.join(at, f)).st_mtime_ns for at, _, found in os.walk(f"{target}/flat") for f in found if f.endswith(".parquet")}
+    os.rename(f"{source}/chunk_0-00000-of-00001.parquet", f"{tmp_path}/kept")
+    write_entities(spark, source, 0, 2)
+    os.replace(f"{tmp_path}/kept", f"{source}/chunk_0-00000-of-00001.parquet")
+    os.remove(f"{source}/chunk_0-00000-of-00002.parquet")
+    assert run.run_all(spark, source, target) == [0]
+    now = {f: os.stat(os.path.join(at, f)).st_mtime_ns for at, _, found in os.walk(f"{target}/flat") for f in found if f.endswith(".parquet")}
+    assert old.items() <= now.items() and len(now) > len(old)
+    assert run.check_chunk(spark, target, 0).count() == 0
+
+
+def test_partitions_that_a_file_no_longer_has_go(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    first = spark.createDataFrame([("a b%", "Q1", "en"), ("a b%", "Q2", "fr"), ("g", "Q3", "fr"), ("a b%", "Q4", "")], "source_file string, id string, language string")
+    found, bad = sink.write_audited(first, "labels", "language", target, ["a b%", "g", "none"])
+    assert bad == 1 and rows(found, "source_file", "key", "rows") == [("a b%", "en", 1), ("a b%", "fr", 1), ("g", "fr", 1), ("none", None, 0)]
+    found, _ = sink.write_audited(first.where("language = 'en'"), "labels", "language", target, ["a b%"])
+    assert rows(found, "key", "rows") == [("en", 1)]
+    assert rows(sink.read_partitions(spark, target), "source_file", "language") == [("a b%", "en"), ("g", "fr")]
+
+
+def test_publishing_is_taken_up_again(spark, tmp_path):
+    here, there = f"{tmp_path}/here", f"{tmp_path}/there it is"
+    spark.range(100).selectExpr("id", "id % 3 as language").write.partitionBy("language").parquet(here)
+    assert sink.publish(spark, here, there) > 0 and sink.publish(spark, here, there) == 0
+    found = [os.path.join(at, f) for at, _, names in os.walk(there) for f in names if f.endswith(".parquet")]
+    with open(found[0], "w") as f:
+        f.write("cut")
+    with open(f"{there}/old.parquet", "w") as f:
+        f.write("old")
+    assert sink.publish(spark, here, there) == 1
+    assert spark.read.parquet(there).count() == 100 and not os.path.exists(f"{there}/old.parquet")
+
+
+def test_drift_stops_a_run(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    write_entities(spark, source, 0, 1)
+    df = spark.createDataFrame([("Q9", json.dumps({"en": {"language": "en", "value": "v", "fresh": 1}}), "{}", "{}", "{}", "{}")], "id string, labels string, descriptions string, aliases string, sitelinks string, claims string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/odd")
+    os.rename(next(f"{tmp_path}/odd/{f}" for f in os.listdir(f"{tmp_path}/odd") if f.endswith(".parquet")), f"{source}/chunk_1-00000-of-00001.parquet")
+    with pytest.raises(SchemaDriftError, match="fresh"):
+        run.run_all(spark, source, target)
+    state = {r["chunk"]: r["step"] for r in ledger.state(ledger.history(spark, f"{target}/ledger")).collect()}
+    assert state == {0: int(Step.PARTITION), 1: int(Step.PULL)}
+
+
+def test_sizes_must_agree(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    write_entities(spark, source, 0, 1)
+    expected = files.listing(spark, source).withColumn("size", files.F.col("size") + 1)
+    with pytest.raises(sink.AuditError, match="size"):
+        run.run_all(spark, source, target, sizes=expected)
 
 
 def test_files_are_followed(spark, tmp_path):
@@ -107,6 +177,12 @@ def test_ledger(spark, tmp_path):
     assert rows(ledger.next_chunk(now)) == [(0,)]
     assert rows(ledger.next_chunk(now.where("step = 6"))) == [(None,)]
     assert rows(ledger.files_to_pull(now, 0)) == [("chunk_0-00001-of-2.parquet",)]
+    assert ledger.seed(spark, path, ["chunk_0-00000-of-2.jsonl", "chunk_9-00000-of-1.jsonl"]) == ["chunk_9-00000-of-1.jsonl"]
+    ledger.append(spark, path, ["chunk_3-00000-of-1.jsonl"], Step.INIT)  # later runs come after earlier ones
+    again = ledger.state(ledger.history(spark, path))
+    assert rows(again.where("chunk >= 3"), "chunk", "step") == [(3, 0), (9, 0)]
+    asked = spark.createDataFrame([("chunk_0-00000-of-2.parquet",), ("chunk_0-00001-of-2.jsonl",), ("nowhere.jsonl",)], "file string")
+    assert rows(ledger.step_of(now, asked, Step.PROCESS), "step", "reached") == sorted([(6, True), (1, False), (None, False)], key=str)
     assert rows(ledger.gates(now)) == [(0, 1, False, False), (3, 1, False, False)]
 
 
@@ -140,18 +216,17 @@ def test_analytics_against_a_model(spark):
     values = [rng.choice([1, 5, 5, 9, rng.randrange(1, 400)]) for _ in range(500)]
     df = spark.createDataFrame(list(enumerate(values)), "k long, v long")
     order = sorted(values)
-    got = rows(analytics.cumulative(df, "v", "k", 7))
-    running = 0
-    want = []
-    for i, v in enumerate(order, 1):
-        running += v
-        want.append((v, i, running))
-    assert got == sorted(want, key=str)
-    n, total, gini = rows(analytics.gini(df, "v", "k"))[0]
+    got = rows(analytics.cumulative(df.unionAll(spark.createDataFrame([(None, None)], df.schema)), "v", 7))
+    assert got == sorted(((v, order.count(v), order.index(v), sum(order[: order.index(v)])) for v in set(order)), key=str)
+    want = [(v, i, sum(order[:i])) for i, v in enumerate(order, 1)]
+    n, total, gini = rows(analytics.gini(df, "v"))[0]
     lorenz = [0] + [w[2] / total for w in want]
     area = sum((a + b) / 2 / n for a, b in zip(lorenz, lorenz[1:]))
     assert gini == pytest.approx(1 - 2 * area)
-    share = rows(analytics.share_count(df, "v", "k"))[0]
-    assert share[0] == 1 + sum(w[2] / total < 0.8 for w in want)
+    for percent in (1, 50, 80, 99, 100):
+        share = rows(analytics.share_count(df, "v", percent))[0]
+        at = next(w for w in want if w[2] * 100 >= total * percent)
+        assert share == (at[1], at[0], at[2])
+    assert rows(analytics.numbered(df, "k").select("k", "row")) == sorted(((i, i) for i in range(500)), key=str)
     assert rows(analytics.peak(df, "v", "k")) == [min((-v, k) for k, v in enumerate(values))[::-1][:1] + (max(values),)]
     assert [r["v"] for r in analytics.top(df, "v", 2).collect()] == sorted(set(values), key=lambda v: (-values.count(v), v))[:2]
