@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("rows"))
@@ -62,10 +64,7 @@ def cumulative(df: DataFrame, column: str, partitions: int | None = None) -> Dat
     Values are counted first, range-partitioned, and each partition's count and sum become offsets (one row a
     partition, broadcast); windows run within partitions only.
     """
-    spark = df.sparkSession
-    wide = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    from ..session import cut
-
+    wide = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = cut(counted(df, column).repartitionByRange(wide, "value").select("value", "n", F.spark_partition_id().alias("_part")))
     totals = placed.groupBy("_part").agg(F.sum(F.col("value") * F.col("n")).alias("_sum"), F.sum("n").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
@@ -85,7 +84,7 @@ def gini(df: DataFrame, column: str) -> DataFrame:
     ranked = cumulative(df, column)
     ranks = F.col("n") * F.col("rank") + F.col("n") * (F.col("n") + 1) / 2
     sums = ranked.agg(F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("total"), F.sum(F.col("value") * ranks).alias("weighted"))
-    gini_ = 2.0 * F.col("weighted") / (F.col("n") * F.col("total")) - (F.col("n") + 1.0) / F.col("n")
+    gini_ = 2.0 * F.col("weighted") / (F.col("n").cast("double") * F.col("total")) - (F.col("n") + 1.0) / F.col("n")
     return sums.select("n", "total", gini_.alias("gini"))
 
 
@@ -103,8 +102,6 @@ def share_count(df: DataFrame, column: str, percent: int = 80) -> DataFrame:
 
 def numbered(df: DataFrame, order: str, name: str = "row") -> DataFrame:
     """The rows with their number in ascending order of a column without ties, from 0: range partitions and offsets."""
-    from ..session import cut
-
     placed = cut(df.orderBy(order).withColumn("_part", F.spark_partition_id()))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition

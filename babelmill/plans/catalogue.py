@@ -10,13 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions import drift, names, normalise
-from ..functions.schemas import PARSED_CLAIMS
+from ..functions import names, normalise
 from ..operators import analytics, audit, claims, flatten, ledger, planning, sink
-from ..sources.files import demo_rows
-from . import recipes
+from ..session import scratch
+from ..sources import files as sources
+from . import recipes, run
 from .recipes import CLAIM_ROWS, FILES, LANGS, TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,11 +104,33 @@ def audit_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.sidecar(_flat_labels(spark, sf_dir), "labels", "language")
 
 
-@query(f"with a as ({AUDIT_SQL}) select source_file, \"table\", key, rows as rows_before, rows + 1 as rows_after from a where key = 'fr' and source_file like 'chunk_3-%'")
+@query(f"select 'chunk_' || (doc_id % 7) || '-00000-of-00001.parquet' as source_file, 'Q' || doc_id as id, language, source || ':' || language as value from documents cross join {LANGS} where (doc_id + i) % 3 <> 0")
+def partitions_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label table as it reads back from its partitions."""
+    target = scratch(spark)
+    sink.write_partitions(_flat_labels(spark, sf_dir), "language", target)
+    return sink.read_partitions(spark, target).select("source_file", "id", "language", "value")
+
+
+@query(
+    f"with a as ({AUDIT_SQL}) select source_file, \"table\", key, rows as rows_before, case when source_file like 'chunk_3-%' then nullif(rows - 1, 0) end as rows_after"
+    " from a where key = 'fr' and source_file like 'chunk_3-%' or source_file like 'chunk_5-%'"
+)
 def postcheck(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = sink.sidecar(_flat_labels(spark, sf_dir), "labels", "language")
-    spoilt = (F.col("key") == "fr") & F.col("source_file").startswith("chunk_3-")
-    return sink.post_check(before, before.withColumn("rows", F.col("rows") + F.when(spoilt, 1).otherwise(0)))
+    """Labels are written and published; the published table then loses a row of one partition and all of one source file."""
+    target, remote = scratch(spark), scratch(spark)
+    sink.write_partitions(_flat_labels(spark, sf_dir), "language", target)
+    before = sink.sidecar(sink.read_partitions(spark, target), "labels", "language")
+    sink.publish(spark, target, remote)
+    sink.remove_files(spark, remote, ["chunk_5-00000-of-00001.parquet"])
+    one = (F.col("language") == "fr") & F.col("source_file").startswith("chunk_3-")
+    rows = sink.read_partitions(spark, target).where(one)
+    first = rows.agg(F.min("id").alias("first"))
+    sink.remove_files(spark, remote, ["chunk_3-00000-of-00001.parquet"])
+    whole = sink.read_partitions(spark, target).where(F.col("source_file").startswith("chunk_3-") & (F.col("language") != "fr"))
+    lacking = rows.crossJoin(F.broadcast(first)).where("id <> first").drop("first")
+    sink.write_partitions(whole.unionByName(lacking), "language", remote)
+    return sink.post_check(before, sink.sidecar(sink.read_partitions(spark, remote), "labels", "language"))
 
 
 @query(f"select (select count(*) from documents) as ids_before, (select count(distinct doc_id) from documents cross join {LANGS} where (doc_id + i) % 2 = 0) as ids_after, 0::bigint as lost")
@@ -147,11 +168,19 @@ def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.statements(entities.select("id", normalise.claims("claims", nested=False).alias("claims")))
 
 
-@query("select 'Q' || p_partkey as id, 'P' || (p_partkey % 50) as property, 1::bigint as statements, 0::bigint as refs, 0::bigint as qualifiers from part")
+@query(
+    "select 'Q' || p_partkey as id, 'P' || (p_partkey % 50) as property, 1::bigint as statements, (p_partkey % 3)::bigint as refs, case when p_partkey % 4 <> 0 then 1 else 0 end::bigint as qualifiers,"
+    " case when p_partkey % 4 <> 0 then p_brand end as qualifier, case when p_partkey % 3 > 0 and p_partkey % 2 = 0 then p_size::bigint end as whole,"
+    " case when p_partkey % 3 > 0 and p_partkey % 2 = 1 then p_size + 0.5::double end as broken from part"
+)
 def normalise_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = normalise.processed(recipes.claim_entities(spark, sf_dir), "claims").select("id", F.explode("claims").alias("property", "v"))
     first = F.col("v")[0]
-    return found.select("id", "property", F.size("v").cast("long").alias("statements"), F.size(first["references"]).cast("long").alias("refs"), F.size(first["qualifiers"]).cast("long").alias("qualifiers"))
+    qualifier = F.try_element_at(first["qualifiers"], F.lit("P9"))[0]["datavalue"]["datavalue__string"]
+    precision = F.try_element_at(F.try_element_at(first["references"], F.lit(-1)), F.lit("P8"))[0]["datavalue"]["precision"]
+    sizes = [F.size("v").cast("long").alias("statements"), F.size(first["references"]).cast("long").alias("refs"), F.size(first["qualifiers"]).cast("long").alias("qualifiers")]
+    values = [qualifier.alias("qualifier"), precision["precision__integer"].alias("whole"), precision["precision__number"].alias("broken")]
+    return found.select("id", "property", *sizes, *values)
 
 
 @query(f"select id, any_value(property) as property, any_value(datatype) as datatype, 'normal' as rank, count_if(has_name) as names from ({CLAIM_ROWS}) group by id")
@@ -271,12 +300,11 @@ def coalesce_datavalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("id", normalise.plain_value("d", "datatype").alias("value"))
 
 
-@query("select 0::bigint as misfits, (select count(*) from part) as records")
+@query("select distinct 'claims' as field, '$.P' || (p_partkey % 50) || '[].rang: not declared' as misfit from part where p_partkey % 97 = 5")
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = recipes.claim_entities(spark, sf_dir)
-    observed = drift.observed_schema(entities, "claims")
-    found = drift.misfits(drift._parse(observed)[0], T._parse_datatype_string(PARSED_CLAIMS))
-    return entities.agg(F.lit(len(found)).cast("long").alias("misfits"), F.count("*").alias("records"))
+    """Some statements have a field that isn't declared."""
+    claims_ = F.when(F.col("id").substr(2, 20).cast("long") % 97 == 5, F.replace("claims", F.lit('"rank":'), F.lit('"rang":1,"rank":'))).otherwise(F.col("claims"))
+    return run.misfits(recipes.claim_entities(spark, sf_dir).select(claims_.alias("claims"))).withColumnRenamed("column", "field")
 
 
 # Files, ledger and plans
@@ -322,6 +350,23 @@ def files_at_or_past(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.at_or_past(recipes.ledger(spark, sf_dir), ledger.Step.PARTITION).select("file")
 
 
+@query(f"select stem || '.parquet' as file, case when o_orderkey % 11 <> 0 then step end as step, o_orderkey % 11 <> 0 and step >= 3 as reached from ({FILES})")
+def file_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = recipes.ledger(spark, sf_dir).where(F.col("o_orderkey") % 11 != 0)
+    return ledger.step_of(known, recipes.files(spark, sf_dir).select("file"), ledger.Step.PARTITION)
+
+
+@query(f"select stem || '.jsonl' as file from ({FILES}) where o_orderkey % 11 = 0")
+def files_to_enter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recipes.ledger(spark, sf_dir)
+    return ledger.unknown(found, found.where(F.col("o_orderkey") % 11 != 0))
+
+
+@query(f"select stem || '.parquet' as file from ({FILES}) where regexp_matches(stem, '_1[0-9]*-0*[1-9]*5-of')")
+def files_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.files(spark, sf_dir).where(F.col("file").rlike("_1[0-9]*-0*[1-9]*5-of")).select("file")
+
+
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing that lacks every eleventh file."""
     rows = recipes.files(spark, sf_dir).where(F.col("o_orderkey") % 11 != 0)
@@ -402,6 +447,24 @@ def chunk_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.completeness(found, found.where(F.col("o_orderkey") % 10 != 0))
 
 
+@query(f"select stem || '.parquet' as file, size, round_even(size / 1073741824.0::double, 3) as size_gb from ({FILES})")
+def size_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes written as CSV and read again."""
+    target = scratch(spark)
+    sink.write_sizes(recipes.files(spark, sf_dir).select("file", "size", names.gigabytes("size").alias("size_gb")), target)
+    return sources.size_table(spark, target)
+
+
+@query("select count(*) as rows, min(l_orderkey) as low, max(l_orderkey) as high from lineitem")
+def footer_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sink.footer_bounds(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey")
+
+
+@query("select o_orderkey, row_number() over (order by o_orderkey) - 1 as row from orders")
+def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.numbered(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+
+
 BUDGET = 20_000_000_000
 
 
@@ -414,6 +477,11 @@ def prefetch_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.prefetch(totals, 5, 50, BUDGET, complete=totals.where(F.col("chunk") % 4 == 0))
 
 
+@query(f"select chunk, sum(size)::bigint as size, greatest({BUDGET} - sum(size)::bigint, 0)::bigint as \"left\" from ({FILES}) group by chunk")
+def budget_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planning.remaining(planning.chunk_totals(_chunks(spark, sf_dir)), BUDGET)
+
+
 @query(f"select distinct chunk from ({FILES}) where chunk % 10 = 0 or chunk < 20 order by chunk")
 def chunk_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chunks(spark, sf_dir).where((F.col("chunk") % 10 == 0) | (F.col("chunk") < 20)).select("chunk").distinct().orderBy("chunk")
@@ -437,16 +505,12 @@ RANKED = "select l_suppkey as v, row_number() over (order by l_suppkey, l_orderk
 
 @query(f"select count(*) as n, sum(v)::bigint as total, 2.0::double * sum(v * r)::bigint / (count(*) * sum(v)::bigint) - (count(*) + 1.0::double) / count(*) as gini from ({RANKED})")
 def lorenz_gini(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.gini(_ranked(spark, sf_dir), "v", "tie")
+    return analytics.gini(table(spark, sf_dir, "lineitem"), "l_suppkey")
 
 
 @query(f"with c as (select v, r, (sum(v) over (order by r))::bigint as running from ({RANKED})) select r as files, v as value, running from c where running * 100 >= (select sum(v) from c) * 80 order by r limit 1")
 def lorenz_80pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.share_count(_ranked(spark, sf_dir), "v", "tie")
-
-
-def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("v"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tie"))
+    return analytics.share_count(table(spark, sf_dir, "lineitem"), "l_suppkey")
 
 
 @query("select event_id, user_id, value from events order by value desc, event_id limit 1")
@@ -459,6 +523,33 @@ def elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.elapsed(table(spark, sf_dir, "events").select("event_id", "ts"), "ts").select("event_id", "minutes")
 
 
-@query()
+DEMO_ROWS, DEMO_CHUNKS = 9_000_000, 9
+
+
+def _demo_sql() -> str:
+    """The generator's arithmetic as SQL."""
+    bounds, total = [], 0
+    for language, share in sources.DEMO_SHARES.items():
+        total += int(DEMO_ROWS * share + 1e-9)
+        bounds.append(f"when turn < {total} then '{language}'")
+    return (
+        f"select id // {DEMO_ROWS // DEMO_CHUNKS} as chunk, id % {DEMO_ROWS // DEMO_CHUNKS} as place, case {' '.join(bounds)} else 'en' end as language"
+        f" from (select range as id, range * {sources.stride(DEMO_ROWS)} % {DEMO_ROWS} as turn from range({DEMO_ROWS}))"
+    )
+
+
+@query(f"select chunk, language, count(*) as rows, min('Q' || chunk || lpad(place::varchar, 6, '0')) as first, max('Sample claim ' || place || ' in ' || language) as text from ({_demo_sql()}) group by chunk, language")
 def demo_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return demo_rows(spark, 100_000, {"en": 0.5, "fr": 0.25, "de": 0.15, "es": 0.1}, 8)
+    """What the generator's nine million rows hold, by chunk and language."""
+    groups = sources.demo_rows(spark, DEMO_ROWS, chunks=DEMO_CHUNKS).groupBy("chunk", "language")
+    return groups.agg(F.count("*").alias("rows"), F.min("id").alias("first"), F.max("text").alias("text"))
+
+
+@query(f"select 'chunk_' || chunk || '-0000' || chunk || '-of-0000{DEMO_CHUNKS}.parquet' as file, chunk, chunk as part, count(*) as rows, count(distinct language) as languages from ({_demo_sql()}) group by chunk")
+def demo_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generator's rows as chunk files, found again by their names."""
+    target = scratch(spark)
+    sources.write_demo(sources.demo_rows(spark, DEMO_ROWS, chunks=DEMO_CHUNKS), target, DEMO_CHUNKS)
+    found = sources.listing(spark, target, names.chunk_glob()).select("file", names.chunk("file").alias("chunk"), names.part("file").alias("part"))
+    held = sources.tree(spark, target).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"), F.countDistinct("language").alias("languages"))
+    return found.join(held, "file")

@@ -55,7 +55,7 @@ def site_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claim_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An entity a part with one statement; its kind, labels and units follow from the part's key and size."""
+    """An entity a part with one statement; its kind, labels, units, qualifiers and references follow from the part's key and size."""
     part = table(spark, sf_dir, "part")
     names = _language_map(_where("p_partkey", 3), [F.concat("p_brand", F.lit(f":{n}")) for n in LANGUAGES])
     labels = _language_map(_where("p_size", 2, 0), [F.concat("p_name", F.lit(f":{n}")) for n in LANGUAGES])
@@ -76,7 +76,13 @@ def claim_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     datatype = F.element_at(F.array(*map(F.lit, KINDS)), (kind + 1).cast("int"))
     prop = F.concat(F.lit("P"), (F.col("p_partkey") % 50).cast("string"))
     snak = [F.lit('{"mainsnak":{"property":"'), prop, F.lit('","datavalue":'), value, F.lit(',"datatype":"'), datatype, F.lit('","property-labels":'), F.to_json(names), F.lit("}")]
-    claims = F.concat(F.lit('{"'), prop, F.lit('":['), *snak, F.lit(',"rank":"normal","references":[],"qualifiers":{}}]}'))
+    typed = lambda p, v, kind: [F.lit(f'{{"{p}":[{{"property":"{p}","datavalue":'), v, F.lit(f',"datatype":"{kind}","property-labels":{{}}}}]}}')]
+    qualifiers = F.when(F.col("p_partkey") % 4 != 0, F.concat(*typed("P9", F.concat(F.lit('"'), "p_brand", F.lit('"')), "string"))).otherwise("{}")
+    precision = F.concat(size, F.when(F.col("p_partkey") % 2 == 0, "").otherwise(".5"))
+    reference = F.concat(*typed("P8", F.concat(F.lit('{"time":"+2001","precision":'), precision, F.lit("}")), "time"))
+    references = F.array_join(F.array_repeat(reference, (F.col("p_partkey") % 3).cast("int")), ",")
+    rest = [F.lit(',"rank":"normal","references":['), references, F.lit('],"qualifiers":'), qualifiers, F.lit("}]}")]
+    claims = F.concat(F.lit('{"'), prop, F.lit('":['), *snak, *rest)
     return part.select(F.concat(F.lit("Q"), key).alias("id"), claims.alias("claims"))
 
 

@@ -45,7 +45,7 @@ def flat_schema(spark: SparkSession, table: str) -> T.StructType:
 
 def misfits(rows: DataFrame) -> DataFrame:
     """(column, misfit) of the fields of entity records that the declared schemas have no place for: one aggregate."""
-    found = drift.observed_schemas(rows, list(DECLARED))
+    found = drift.observed_schemas(rows, [c for c in DECLARED if c in rows.columns])
     bad = [(c, m) for c, seen in found.items() for m in drift.misfits(drift._parse(seen)[0], T._parse_datatype_string(DECLARED[c])) if not m.startswith("$") or m.partition(":")[0].rpartition(".")[2] not in DROPPED.get(c, ())]
     return rows.sparkSession.createDataFrame(bad, "column string, misfit string")
 

@@ -69,22 +69,27 @@ DEMO = {
 DEMO_SHARES = {language: thousandths / 1000 for thousandths, group in DEMO.items() for language in group.split()}
 
 
+def stride(rows: int) -> int:
+    """A step that has no factor in common with the number of rows."""
+    step = STRIDE
+    while math.gcd(step, max(rows, 1)) > 1:
+        step += 2
+    return step
+
+
 def demo_rows(spark: SparkSession, rows: int = 9_000_000, shares: dict[str, float] = DEMO_SHARES, chunks: int = 9, filler: str = "en") -> DataFrame:
     """Synthetic (id, text, language, chunk) rows in exact shares, shuffled and cut into chunks of equal size.
 
     Each language has int(rows * share) rows, what is left is the filler's. The shuffle is a permutation by arithmetic:
-    place n holds the row n * STRIDE modulo the number of rows, for a stride that has no factor in common with it, so
+    place n holds the row n * stride modulo the number of rows, so
     nothing is sorted and every place is computed by itself.
     """
-    stride = STRIDE
-    while math.gcd(stride, max(rows, 1)) > 1:
-        stride += 2
     bounds, total = [], 0
     for language, share in shares.items():
         total += int(rows * share + 1e-9)
         bounds.append((language, total))
     per_chunk = -(-rows // chunks)
-    at = (F.col("id") * F.lit(stride)) % F.lit(max(rows, 1))
+    at = (F.col("id") * F.lit(stride(rows))) % F.lit(max(rows, 1))
     language = F.lit(filler)
     for name, bound in reversed(bounds):
         language = F.when(at < bound, name).otherwise(language)
