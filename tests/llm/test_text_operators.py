@@ -141,43 +141,127 @@ def test_syncmers_keep_recurring_passages(spark):
     assert {(r[2], r[3]) for r in back} == {(0, len(one)), (-second, len(one))}
 
 
-def brute_licenses(body, automata):
-    """Every automaton tried at every token by a search over regular expressions of token sequences."""
+def template_tree(template):
+    """Nested lists of words, optional parts and expressions, by a split at the marks."""
+    stack = [[]]
+    for part in re.split(r"(<<.*?>>)", template, flags=re.S):
+        if part == "<<beginOptional>>":
+            stack.append([])
+        elif part == "<<endOptional>>":
+            inner = stack.pop()
+            stack[-1].append(("opt", inner))
+        elif part.startswith("<<var"):
+            stack[-1].append(("var", re.search('match="(.*?)"', part, re.S).group(1)))
+        else:
+            stack[-1] += [("word", w) for w, _, _ in licenses.tokens(part)]
+    return stack[0]
+
+
+def brute_licenses(body, templates):
+    """A backtracking search over the templates as trees: every end from every token, tried in full."""
     found = licenses.tokens(body)
-    out = []
-    for one in automata:
-        i = 0
+    repeat = lambda p: re.fullmatch(r"\.(\+|\*|\{[0-9,]+\})", p)
+
+    def stands(p, i, j):
+        if re.fullmatch(r"[\w|-]+", p):
+            return j == i + 1 and found[i][0] in [licenses.token(w) for w in p.split("|")]
+        held = "" if i == j else body[found[i][1] : found[j - 1][2]]
+        if not repeat(p):
+            held = " ".join(held.split())
+        return re.fullmatch(p, held, re.S | re.I if repeat(p) else re.I) is not None
+
+    def may_end(nodes):
+        return all(kind == "opt" or kind == "var" and stands(x, 0, 0) for kind, x in nodes)
+
+    def ends(nodes, i):
+        if not nodes:
+            return {i}
+        (kind, x), rest = nodes[0], nodes[1:]
+        if kind == "word":
+            return ends(rest, i + 1) if i < len(found) and found[i][0] == x else set()
+        if kind == "opt":
+            return ends(x + rest, i) | ends(rest, i)
+        out = set()
+        for j in range(i, len(found) + 1):
+            if stands(x, i, j):
+                out |= ends(rest, j)
+                if repeat(x) and may_end(rest):
+                    break
+        return out
+
+    best = {}
+    for name, template in templates.items():
+        nodes, i = template_tree(template), 0
         while i < len(found):
-            end = one.longest([w for w, _, _ in found], i)
+            end = max(ends(nodes, i), default=-1)
             if end > i:
-                out.append((one.name, found[i][1], found[end - 1][2]))
+                best[i] = min(best.get(i, (0, "")), (-end, name))
                 i = end
             else:
                 i += 1
-    return sorted(out)
+    return [(name, found[i][1], found[-end - 1][2]) for i, (end, name) in sorted(best.items())]
 
 
 def test_license_templates():
     compile_ = licenses.compile_template
     one = compile_("t", 'Licensed under <<beginOptional>>the <<beginOptional>>very<<endOptional>> good<<endOptional>> Foo <<var;name="n";match=".{0,4}">> License')
-    accepts = lambda s: bool(brute_licenses(s, [one]))
-    assert accepts("licensed under Foo License") and accepts("LICENSED!! UNDER!! the very good foo X Y licence.") and accepts("Licensed under the good Foo a license")
+    accepts = lambda s, by=one: bool(licenses.match_text(s, [by]))
+    assert accepts("licensed under Foo License") and accepts("LICENSED!! UNDER!! the very good foo X, Y licence.") and accepts("Licensed under the good Foo a license")
     assert not accepts("Licensed under very good Foo License") and not accepts("Licensed under Foo a b c License") and not accepts("Licensed under Bar License")
-    for bad in ("<<beginOptional>>a<<endOptional>>", "a <<endOptional>>", "a <<beginOptional>> b", '<<var;name="n";match=".+">> a'):
+    assert accepts("licensed under foo abcd license") and not accepts("licensed under foo abcde license") and not accepts("licensed under foo extraordinarily longwords license")
+    far = compile_("t", 'from <<var;name="n";match=".+">> to here')
+    for n in (1, 40, 41, 3000):
+        assert [b for _, _, b in licenses.match_text("from " + "x " * n + "to here, and on", [far])] == [12 + 2 * n]
+    several = compile_("t", 'by <<var;name="n";match="the (authors|copyright holders)">> only')
+    assert accepts("by THE\n copyright   holders only", several) and accepts("by the authors only", several) and not accepts("by the holders only", several)
+    tail = compile_("t", 'get it at <<var;name="n";match="\\S+">>')
+    assert licenses.match_text("get it at https://a.org/B/2.0/. Then much follows", [tail]) == [("t", 0, 29)]
+    for bad in ("<<beginOptional>>a<<endOptional>>", "a <<endOptional>>", "a <<beginOptional>> b", '<<var;name="n";match=".+">> a', 'a <<var;name="n";match="(">> b'):
         with pytest.raises(ValueError):
             compile_("bad", bad)
 
 
-def test_license_scan_against_plain_search(spark):
-    automata = [licenses.compile_template(n, t) for n, t in licenses.TEMPLATES.items()]
-    plain = re.sub(r"<<beginOptional>>.*?<<endOptional>>", "", licenses.TEMPLATES["ISC"], flags=re.S).replace('<<var;name="conj";match="and/or|and">>', "and")
-    plain = re.sub(r"<<.*?>>", "and", plain)
-    bodies = ["x Released under the MIT License. y", "This work is licensed under the GNU General Public License, version 3.", "All rights reserved. all RIGHTS reserved", "Copyright 2020 Some One. All rights reserved", plain, "Released under the License of MIT", words(3000, 6) + " Licensed under CC BY-NC 4.0."]
+def test_license_automata_against_backtracking():
+    rng = random.Random(12)
+    patterns = [".+", ".*", ".{1,4}", ".{0,3}", "b|d", "(a b|c)+", "[a-c]( [a-c])?", "a, b"]
+
+    def made(depth):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            kind = rng.randrange(6)
+            parts.append(f"<<beginOptional>>{made(depth - 1)}<<endOptional>>" if kind == 0 and depth else f'<<var;name=x;match="{rng.choice(patterns)}">>' if kind == 1 else rng.choice("abcd"))
+        return " ".join(parts)
+
+    hits = 0
+    for _ in range(400):
+        templates = {name: rng.choice("abcd") + " " + made(2) for name in "xy"}
+        body = "".join(rng.choice("abcd") + rng.choice([" ", " ", ", ", "\n"]) for _ in range(rng.randrange(0, 14)))
+        got = licenses.match_text(body, [licenses.compile_template(n, t) for n, t in templates.items()])
+        assert got == brute_licenses(body, templates), (templates, body)
+        hits += len(got)
+    assert hits > 200
+
+
+def filled(template, words=("x",)):
+    """A text that fits a template: with its optional parts, and each region's first word or some of its own."""
+    body = re.sub(r"<<(begin|end)Optional>>", "", template)
+    given = lambda m: m.group(1).split("|")[0] if re.fullmatch(r"\w[\w|/.-]*", m.group(1)) else "2020" if "[0-9]" in m.group(1) else "https://a.org/L" if "S" in m.group(1) else " ".join(words)
+    return re.sub(r'<<var;.*?match="(.*?)">>', given, body, flags=re.S)
+
+
+def test_license_scan_against_backtracking(spark):
+    bodies = ["x Released under the MIT License. y", "This work is licensed under the GNU General Public License, version 3.", "All rights reserved. all RIGHTS reserved", "Copyright 2020 Some One. All rights reserved", "Released under the License of MIT", words(3000, 6) + " Licensed under CC BY-NC 4.0."]
+    bodies += [f"before. {filled(t, ('Some', 'One'))} And after." for t in licenses.TEMPLATES.values()]
     docs = frame(spark, [*ODD, *[(100 + i, b) for i, b in enumerate(bodies)]])
-    got = sorted((r["doc_id"], r["license_id"], r["start"], r["end"]) for r in licenses.scan_licenses(docs).collect())
-    want = sorted((100 + i, *hit) for i, b in enumerate(bodies) for hit in brute_licenses(b, automata))
-    want = [w for w in want if not any(o[0] == w[0] and o[2] < w[2] and o[3] >= w[3] and o[1] == w[1] for o in want)]
-    assert got == want and {g[0] for g in got} == {100, 101, 102, 103, 104, 106}
+    got = sorted((r["doc_id"], r["start"], r["license_id"], r["end"]) for r in licenses.scan_licenses(docs).collect())
+    want = sorted((100 + i, a, n, b) for i, body in enumerate(bodies) for n, a, b in brute_licenses(body, licenses.TEMPLATES))
+    assert got == want and {g[0] for g in got} >= {100, 101, 102, 103, 105}
+    assert {g[2] for g in got} == set(licenses.TEMPLATES)
+    for i, name in enumerate(licenses.TEMPLATES):
+        whole = [g for g in got if g[0] == 106 + i and g[1] == 8]
+        assert whole and (whole[0][2] == name or whole[0][3] >= len(bodies[6 + i]) - 20), name
+    tied = {"b": "a c", "a": "a <<beginOptional>>c<<endOptional>>"}
+    assert [tuple(r) for r in licenses.scan_licenses(frame(spark, [(1, "a c")]), templates=tied).collect()] == [(1, "a", 0, 3)]
     assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
