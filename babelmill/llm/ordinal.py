@@ -14,7 +14,8 @@ Contract:
   repeated rows; NULL ids are scored like others; a tie at ``least`` is selected.
 * with fewer than two grades among the labels nothing can be learned: every row with a text is selected, with NULL figures.
 * an empty table gives an empty table; only id and text are read, so further columns can't clash.
-* ``keep_selected`` returns the selected input rows unchanged, all columns included.
+* ``keep_selected`` returns the selected input rows unchanged, all columns included, whatever they are called; doc_id and
+  text are found in any spelling of capitals.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut
-from .blobs import tune
+from .blobs import named, tune, unused
 from .text import chunks, codes, mix, prefix, span_hash
 
 BITS = 18
@@ -237,12 +238,12 @@ def scored(df: DataFrame, model: Model | None, text_column: str, names: tuple[st
     if model is None:
         return df.where(F.col(text_column).isNotNull()).withColumns({n: F.lit(None).cast("double") for n in names})
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
-    place = df.columns.index(text_column)
+    place = named(df, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(batch.column(place).is_valid())
-            tails = model.tails(batch.column(place).to_pylist())
+            tails = model.tails(batch.column(place).cast(pa.string()).to_pylist())
             best = tails[:, -1]
             columns = [*batch.columns, pa.array(model.expected(tails)), pa.array(best)]
             out = pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
@@ -261,9 +262,5 @@ def select_documents(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GR
 def keep_selected(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE, least: float = LEAST) -> DataFrame:
     """The input rows that the classifier keeps."""
     model = train(docs, grades(labels), per_grade)
-    names = []
-    for name in ("_expected", "_tail"):
-        while name in docs.columns:
-            name = "_" + name
-        names.append(name)
-    return scored(docs, model, "text", (names[0], names[1]), least).drop(*names)
+    names = (unused(docs, "_expected"), unused(docs, "_tail"))
+    return scored(docs, model, "text", names, least).drop(*names)
