@@ -4,10 +4,10 @@ Character shingles give each distinct line a MinHash signature; bands of it are
 compared by the exact Jaccard index of their shingle sets; distributed union-find joins what holds, and the first
 line (smallest document id, then line number) of each component is kept.
 
-Contract of ``duplicate_lines``: a row (doc_id, line_no, keeper_doc_id, keeper_line_no) for each line that goes;
-line numbers count from 0 at line feeds.
+Contract of ``duplicate_lines``: a row (doc_id, line_no, keeper_doc_id, keeper_line_no, line_hash) for each line that
+goes; line numbers count from 0 at line feeds; line_hash is that of the line's characters.
 
-* blank lines (white space alone) are never duplicates and always stay; a line of fewer than ``k`` characters has
+* blank lines (ASCII white space alone; a no-break space is wording) are never duplicates and always stay; a line of fewer than ``k`` characters has
   itself as its one shingle, so it matches only lines equal to it.
 * NULL ids and NULL texts take no part; an empty text has one blank line.
 * rows that repeat an id and a text count once; ties can't occur among (id, line number) places.
@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .blobs import by_text, pack, schema, tune
+from .blobs import by_text, named, pack, schema, tune, unused
 from .candidates import FIELDS, Sets, grouped, key_groups
 from .text import U, codes, mix, prefix, powers, runs, span_hash, BASE, INVERSE
 
 K = 8
 BANDS, ROWS = 12, 4  # at a Jaccard index of 0.7 a pair shares a band with probability 0.96
 LEAST = 0.7
+BLANKS = " \t\n\v\f\r"
 
 
 def split_lines(c: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -192,19 +193,12 @@ def duplicate_lines(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def drop_duplicate_lines(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """The documents without the lines that ``duplicate_lines`` names."""
-    taken = {c.lower() for c in docs.columns}
-    names = []
-    for name in ("_gone", "_owner"):
-        while name in taken:
-            name = "_" + name
-        names.append(name)
-    gone_name, owner = names
+    gone_name, owner = unused(docs, "_gone"), unused(docs, "_owner")
     gone = duplicate_lines(docs, least=least)
     lists = gone.groupBy(F.col("doc_id").alias(owner)).agg(F.collect_list(F.struct("line_no", "line_hash")).alias(gone_name))
     joined = docs.join(lists, F.col("doc_id").cast("long") == F.col(owner), "left").drop(owner)
     out = docs.schema
-    at = docs.columns.index("text")
-    length = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    at, length = named(docs, "text"), named(docs, "n_chars")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +209,7 @@ def drop_duplicate_lines(docs: DataFrame, least: float = LEAST) -> DataFrame:
                     _, _, _, _, _, number, whole = line_hashes([text])
                     hit = {n for n, h in zip(number.tolist(), whole.view(np.int64).tolist()) if (n, h) in dropped}
                     left = [line for n, line in enumerate(text.split("\n")) if n not in hit]
-                    if not any(map(str.strip, left)):
+                    if not any(line.strip(BLANKS) for line in left):
                         continue
                     texts[i] = "\n".join(left)
                 kept.append(i)
