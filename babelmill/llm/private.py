@@ -1,9 +1,10 @@
 """Personal identifiers by bootstrapped contextual extraction.
 
-Candidates are spans with a digit or an at sign. Each has lexical patterns: its exact shape (digits 9, letters a and
-A), its collapsed shape, and the words beside it together with that shape. Seeds are candidates that a validator
+Candidates are spans with a digit or an at sign; after a secret's name, the whole value up to a blank or quote. Each has
+lexical patterns: its exact shape (digits 9, letters a and A), its collapsed shape, and the whole words beside it in its
+line together with that shape. Seeds are candidates that a validator
 accepts (mail addresses, dotted quads in range, numbers with a valid checksum or a card issuer's range, telephone numbers of the numbering
-plan, long values assigned to a secret's name) or rejects (short numbers). From the seeds Spark scores the bipartite
+plan, long values with a digit that are assigned to a secret's name) or rejects (short numbers). From the seeds Spark scores the bipartite
 graph of patterns and instances in turns: a pattern's confidence is the share of its instances that are identifiers,
 an instance's score is the best confidence among its patterns. Confident patterns so find identifiers that no
 validator knows: area codes outside the plan, card-like numbers of no issuer whose checksum fails, secrets without a name.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .blobs import tune
+from .blobs import named, tune, unused
 from .text import codes, prefix, span_hash
 
 MARK = "[PRIVATE]"
@@ -54,6 +55,8 @@ QUAD = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 PHONE = re.compile(r"(?:\+1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}")
 BANK = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
 ISSUER = re.compile(r"4[0-9]{15}|5[1-5][0-9]{14}|2[2-7][0-9]{14}|3[47][0-9]{13}|6(?:011|5[0-9]{2})[0-9]{12}")
+WORDS = 4  # words before a candidate that its seed rule and patterns may look at
+VALUE = re.compile(r"[\w/+=~.-]+")
 SECRET = re.compile(r"(?:token|secret|passwo?r?d|api[_ -]?key|credential)\w*\s*[=:]+\s*[\"']?$", re.I)
 
 
@@ -73,7 +76,7 @@ def seed(value: str, before: str) -> int:
         return 1 if all(int(x) < 256 for x in value.split(".")) else 0
     if PHONE.fullmatch(value):
         return 1
-    if len(value) >= 16 and value.isalnum() and not value.isdigit() and SECRET.search(before):
+    if len(value) >= 16 and VALUE.fullmatch(value) and not value.isdigit() and SECRET.search(before):
         return 1
     if BANK.fullmatch(value):
         return 1 if int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1 else 0
@@ -91,6 +94,24 @@ def shapes(value: str) -> tuple[str, str]:
     return exact, re.sub(r"9+", "9", collapsed) if re.search(r"\D", value) else f"9{{{len(value)}}}"
 
 
+def beside(text: str, at: int, step: int, count: int) -> str:
+    """What stands before (step -1) or after (1) a place in its line: as much as holds that many whole words, or all."""
+    width = 40
+    while True:
+        part = text[max(0, at - width) : at].rpartition("\n") if step < 0 else text[at : at + width].partition("\n")
+        found, whole = (part[2], part[1] or at <= width) if step < 0 else (part[0], part[1] or at + width >= len(text))
+        if whole or len(found.split()) > count:
+            return found
+        width *= 2
+
+
+def whole_value(text: str, a: int, b: int) -> tuple[int, int]:
+    """The span widened to the blank-free value around it."""
+    while a and VALUE.match(text, a - 1, a) and text[a - 1] != "=":
+        a -= 1
+    return a, VALUE.match(text, b - 1).end()
+
+
 def scan(text: str) -> Iterator[tuple[int, int, str, int, list[str]]]:
     """(start, end, kind, seed, patterns) of every candidate in a text."""
     at = 0
@@ -102,15 +123,23 @@ def scan(text: str) -> Iterator[tuple[int, int, str, int, list[str]]]:
         if region is None:
             at = hot.end()
             continue
+        done = region.start()
         for found in SPAN.finditer(text, region.start(), region.end()):
             a, b = found.span()
-            value = found.group()
+            if a < done:
+                continue
+            wide = whole_value(text, a, b) if VALUE.match(text, b - 1, b) else (a, b)
+            before = beside(text, wide[0], -1, WORDS)
+            if wide != (a, b) and wide[0] >= done and SECRET.search(before):
+                a, b = wide
+            elif wide[0] != a:
+                before = beside(text, a, -1, WORDS)
+            value, done = text[a:b], b
             while value[-1] in ".:/-_" and len(value) > 1:
                 value, b = value[:-1], b - 1
             if not HOT.search(value):
                 continue
-            before = text[max(0, a - 40) : a].rpartition("\n")[2]
-            after = text[b : b + 40].partition("\n")[0]
+            after = beside(text, b, 1, 1)
             exact, kind = shapes(value)
             left, right = before.lower().split(), after.lower().split()
             patterns = ["=" + exact, "~" + kind]
@@ -179,18 +208,11 @@ def find_identifiers(df: DataFrame, id_column: str = "doc_id", text_column: str
 
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The documents with every identifier replaced by MARK."""
-    taken = {c.lower() for c in docs.columns}
-    names = []
-    for name in ("_spans", "_hash"):
-        while name in taken:
-            name = "_" + name
-        names.append(name)
-    listed, key = names
-    hits = spans(docs, docs.columns[0], text_column) if "doc_id" not in docs.columns else spans(docs, "doc_id", text_column)
+    listed, key = unused(docs, "_spans"), unused(docs, "_hash")
+    hits = spans(docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_column).alias("text")))
     lists = hits.groupBy(F.col("h").alias(key)).agg(F.collect_set(F.struct("start", "stop")).alias(listed))
     joined = docs.join(lists, F.xxhash64(F.col(text_column).cast("string")) == F.col(key), "left").drop(key)
-    at = docs.columns.index(text_column)
-    length = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    at, length = named(docs, text_column), named(docs, "n_chars")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
