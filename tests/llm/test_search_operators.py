@@ -195,6 +195,14 @@ def test_packed_shingles_are_the_set():
         assert lines.packed_overlap(a, b) == len(lines.line_shingles(x) & lines.line_shingles(y))
 
 
+def test_lines_of_other_blanks_and_spellings(spark):
+    rows = [(1, "the same line of many words in two texts"), (2, "the same line of many words in two texts\n\u00a0"), (3, "\n \n")]
+    docs = spark.createDataFrame([(i, t, len(t), 1, 2) for i, t in rows], "Doc_ID long, Text string, N_Chars int, _owner int, _GONE int")
+    out = lines.drop_duplicate_lines(docs)
+    assert out.columns == docs.columns
+    assert sorted((r[0], r[1], r[2]) for r in out.collect()) == [(1, rows[0][1], 40), (2, "\u00a0", 1), (3, "\n \n", 3)]
+
+
 def test_lines_are_dropped(spark):
     rows = [(1, "first line here\n\nsecond line here"), (2, "first line here\nonly in the second"), (3, "second line here\n \nfirst line here"), (3, "second line here\n \nfirst line here"), (None, "first line here"), (6, None), (7, ""), (8, " \n"), (9, "x" * 300_000)]
     out = lines.drop_duplicate_lines(frame(spark, rows))
@@ -302,6 +310,60 @@ def test_nearest_neighbours_of_large_groups(spark, count):
     assert hits / total >= 0.9
 
 
+def plain_packing(rows, edges, window):
+    """The walk and the fill by their definition: one list of all documents, cut into windows."""
+    near = {}
+    for a, b, s in edges:
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = s
+    root = roots(near, [(a, b) for a, b, _ in edges])
+    place, seen = {}, set()
+    for least in sorted(set(root.values())):
+        left = sorted((x for x in near if root[x] == least), key=lambda x: (len(near[x]), x))
+        at, step = None, 0
+        while len([x for x in left if x in seen]) < len(left):
+            if at is None:
+                at = next(x for x in left if x not in seen)
+            seen.add(at)
+            place[at], step = (least, step), step + 1
+            free = sorted((-s, b) for b, s in near[at].items() if b not in seen)
+            at = free[0][1] if free else None
+    order = sorted(((*place.get(i, (i, 0)), i, len(t.split())) for i, t in rows if i is not None and t is not None and t.split()))
+    out, total = [], 0
+    for _, _, i, n in order:
+        begin = 0
+        while begin < n:
+            take = min(n - begin, window - total % window)
+            out.append((total // window, total % window, i, begin, begin + take))
+            begin, total = begin + take, total + take
+    return out
+
+
+def test_packing_against_a_plain_walk(spark):
+    rows = [*near_texts().items(), *ODD, (12, near_texts()[12]), (200, words(500, 8))]
+    docs = frame(spark, rows)
+    edges = [tuple(r) for r in packing.neighbours(docs.selectExpr("doc_id as id", "text")).collect()]
+    assert len(edges) > 50
+    got = sorted(tuple(r) for r in packing.pack_documents(docs, window=64).collect())
+    assert got == sorted(plain_packing(rows, edges, 64))
+
+
+def test_large_groups_are_walked_in_pieces(spark):
+    rng = random.Random(3)
+    edges = [(0, a, b, s) for a in range(60) for b, s in ((rng.randrange(60), rng.choice([0.3, 0.5, 0.9])) for _ in range(3)) if a != b] + [(100, 100, 101, 0.3)]
+    out = [tuple(r) for r in packing.in_pieces(spark.createDataFrame(edges, "root long, a long, b long, similarity double"), 12).collect()]
+    assert {r[1:] for r in out} <= {e[1:] for e in edges} and (100, 100, 101, 0.3) in out
+    held = {}
+    for root, a, b, _ in out:
+        assert held.setdefault(a, root) == held.setdefault(b, root) == root
+    assert max(list(held.values()).count(r) for r in set(held.values())) <= 20 and len(set(held.values())) > 3
+    rows = [(i, edited(words(80, 5), 0.05, i)) for i in range(60)]
+    packed = [tuple(r) for r in packing.pack_documents(frame(spark, rows), piece=8).collect()]
+    size = {}
+    for _, _, i, a, b in packed:
+        size[i] = size.get(i, 0) + b - a
+    assert size == {i: len(t.split()) for i, t in rows}
+
+
 def test_parts_are_components():
     edges = [(5, 9, 0.5), (2, 3, 0.9), (9, 4, 0.4), (3, 2, 0.9)]
     assert packing.parts(edges) == {4: [edges[0], edges[2]], 2: [edges[1], edges[3]]}

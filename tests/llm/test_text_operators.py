@@ -81,6 +81,45 @@ def test_ordinal_thresholds_are_ordered():
     assert (np.diff(ordinal.sigmoid(0 - model.thresholds)) < 0).all()
 
 
+def test_ordinal_fit_is_the_maximum():
+    """Against Newton's method with derivatives by differences, on a likelihood that is written out from its definition."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2, (400, 3)).astype(float)
+    y = np.clip(np.round(x @ [2.0, -1.5, 0.5] + rng.normal(0, 1.5, 400) + 0.7), 0, 2).astype(int)
+    decay, share = 1e-2, 1 / 3 / np.bincount(y)[y]
+
+    def loss(p):
+        cuts = np.array([-np.inf, p[3], p[3] + np.exp(p[4]), np.inf])
+        upper = 1 / (1 + np.exp(-(x @ p[:3] - cuts[y])))
+        lower = 1 / (1 + np.exp(-(x @ p[:3] - cuts[y + 1])))
+        return -(share * np.log(upper - lower)).sum() + decay / 2 * (p[:3] ** 2).sum()
+
+    def gradient(p, h=1e-5):
+        return np.array([(loss(p + e) - loss(p - e)) / (2 * h) for e in np.eye(5) * h])
+
+    with np.errstate(all="ignore"):
+        p = np.zeros(5)
+        for _ in range(30):
+            curve = np.array([(gradient(p + e) - gradient(p - e)) / 2e-4 for e in np.eye(5) * 1e-4])
+            p -= np.linalg.solve(curve + 1e-9 * np.eye(5), gradient(p))
+        assert np.abs(gradient(p)).max() < 1e-7
+    model = ordinal.fit([np.flatnonzero(r) for r in x], y.tolist(), bits=2, decay=decay, epochs=3000, rate=0.02)
+    assert model.weights[:3] == pytest.approx(p[:3], abs=0.02)
+    assert model.thresholds == pytest.approx([p[3], p[3] + np.exp(p[4])], abs=0.02)
+
+
+def test_ordinal_ties_and_spellings(spark):
+    rows = [(i, ("good words here " if i % 2 else "bad junk there ") * 3) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    tails = {r["tail_probability"] for r in ordinal.select_documents(docs, labels, least=0.0).collect()}
+    assert len(tails) == 2
+    assert ordinal.select_documents(docs, labels, least=max(tails)).count() == 100
+    odd = docs.selectExpr("doc_id as Doc_Id", "text as Text", "1 as _Expected", "2 as _TAIL", "3 as grade")
+    kept = ordinal.keep_selected(odd, labels)
+    assert kept.columns == odd.columns and kept.count() == 100
+
+
 def test_ordinal_on_odd_rows(spark):
     labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
     rows = ordinal.select_documents(frame(spark, ODD), labels).collect()
@@ -286,6 +325,26 @@ def test_identifiers_are_discovered(spark):
     assert all(texts[i]["text"] == t for i, t in clean)
 
 
+def test_identifiers_have_whole_contexts():
+    long = "x" * 100
+    found = {text[a:b]: p for text in [f"{long} {long}y 1234567 {long}z"] for a, b, _, _, p in private.scan(text)}
+    assert found["1234567"][2:] == [f"<{long} {long}y|9{{7}}", f"<{long}y|9{{7}}", f">{long}z|9{{7}}"]
+    values = ["aGVsbG8/d29ybGQ+MTIzNDU2Nzg5MA==", "abc-def_ghi-1234-jkl-mnop", "0123456789abcdef0123"]
+    for value in values:
+        for text in (f'my api key = "{value}".', f"token={value} and more", f"{'y ' * 90}secret :   {value}\n"):
+            assert [(text[a:b], known) for a, b, _, known, _ in private.scan(text) if known > 0] == [(value, 1)]
+        assert not any(known > 0 for *_, known, _ in private.scan(f"token\n{value}"))
+    assert private.beside("a b\nc d e", 7, -1, 4) == "c d" and private.beside("ab cd\ne", 2, 1, 1) == " cd"
+
+
+def test_redaction_of_other_spellings_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.example.com and c@d.example.com", 40), (None, None, None)], "_Spans long, Text string, N_CHARS long")
+    out = private.redact(docs)
+    assert out.columns == docs.columns and out.where("Text is not null").first()[1] == f"mail {private.MARK} and {private.MARK}"
+    assert out.where("Text is not null").first()[2] == len(f"mail {private.MARK} and {private.MARK}")
+    assert private.redact(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_identifiers_on_odd_rows(spark):
     docs = frame(spark, [*ODD, (9, "ip 10.0.0.1 10.0.0.1 and 4111111111111111 4111111111111111."), (9, "ip 10.0.0.1 10.0.0.1 and 4111111111111111 4111111111111111.")])
     rows = private.find_identifiers(docs).collect()
