@@ -35,23 +35,23 @@ from .text import U, codes, mix, prefix, powers, runs, span_hash, BASE, INVERSE
 K = 8
 BANDS, ROWS = 12, 4  # at a Jaccard index of 0.7 a pair shares a band with probability 0.96
 LEAST = 0.7
+BLOCK = 1 << 15  # shingles that are hashed at once
 BLANKS = " \t\n\v\f\r"
 
 
 def split_lines(c: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends, text index, number and blankness of every line of texts laid end to end."""
     feeds = np.flatnonzero(c == 10)
-    text = np.searchsorted(offsets, feeds, "right") - 1
     starts = np.concatenate([offsets[:-1], feeds + 1])
-    order = np.argsort(np.concatenate([np.arange(len(offsets) - 1), text]), kind="stable")
-    starts = starts[order]
-    which = np.concatenate([np.arange(len(offsets) - 1), text])[order]
+    which = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, feeds, "right") - 1])
+    order = np.argsort(which, kind="stable")
+    starts, which = starts[order], which[order]
     counts = np.bincount(which, minlength=len(offsets) - 1)
     ends = np.concatenate([starts[1:] - 1, [len(c)]])[: len(starts)]
     last = np.cumsum(counts) - 1
     ends[last] = offsets[1:]
-    solid = np.append(0, np.cumsum(~((c == 32) | ((c - np.uint32(9)) < 5))))
-    return starts, ends, which, runs(counts), solid[ends] == solid[starts]
+    solid = np.append(np.flatnonzero((c != 32) & ((c - np.uint32(9)) >= 5)), len(c))
+    return starts, ends, which, runs(counts), solid[np.searchsorted(solid, starts)] >= ends
 
 
 def line_hashes(texts: list[str]) -> tuple[np.ndarray, ...]:
@@ -68,26 +68,33 @@ def band_keys(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.
     """A (lines, bands) array of keys from the MinHash signatures of the lines' character shingles."""
     if not len(starts):
         return np.zeros((0, bands), U)
-    n = len(sums) - k
-    if n > 0:
-        shingle = mix((sums[k:] - sums[:-k]) * powers(INVERSE, len(sums))[:n] + U(k)) >> U(32)
-    else:
-        shingle = np.zeros(0, U)
-    count = np.maximum(ends - starts - k + 1, 1)
-    short = ends - starts < k
-    place = np.minimum(np.repeat(starts, count) + runs(count), max(n - 1, 0))
-    values = shingle[place].astype(np.uint32) if n > 0 else np.zeros(int(count.sum()), np.uint32)
-    begin = np.cumsum(count) - count
-    values[begin[short]] = (whole[short] >> U(32)).astype(np.uint32)
+    length, inverse = ends - starts, powers(INVERSE, len(sums))
+    short = length < k
+    count = np.where(short, 1, length - k + 1)
+    upto = np.cumsum(count)
     draws = np.random.default_rng(20)
     flips, factors = draws.integers(0, 1 << 32, bands * rows, dtype=np.uint32), draws.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    least = np.empty((bands * rows, len(starts)), np.uint32)
+    low = 0
+    while low < len(starts):  # a block of lines at a time, so that its arrays stay in the processor's cache
+        high = max(int(np.searchsorted(upto, (upto[low - 1] if low else 0) + BLOCK, "right")), low + 1)
+        own, brief = count[low:high], short[low:high]
+        begin = np.cumsum(own) - own
+        place = np.repeat(starts[low:high] - begin, own) + np.arange(begin[-1] + own[-1])
+        place[begin[brief]] = 0  # of no use, but a place
+        values = (mix((sums[np.minimum(place + k, len(sums) - 1)] - sums[place]) * inverse[place] + U(k)) >> U(32)).astype(np.uint32)
+        values[begin[brief]] = (whole[low:high][brief] >> U(32)).astype(np.uint32)
+        work = np.empty_like(values)
+        for i in range(bands * rows):
+            np.bitwise_xor(values, flips[i], out=work)
+            np.multiply(work, factors[i], out=work)
+            np.minimum.reduceat(work, begin, out=least[i, low:high])
+        low = high
     keys = np.empty((len(starts), bands), U)
     for band in range(bands):
         key = np.full(len(starts), band, U)
-        for row in range(rows):
-            i = band * rows + row
-            least = np.minimum.reduceat((values ^ flips[i]) * factors[i], begin)
-            key = mix(key ^ least.astype(U) * U(BASE), i)
+        for i in range(band * rows, (band + 1) * rows):
+            key = mix(key ^ least[i].astype(U) * U(BASE), i)
         keys[:, band] = key
     return keys
 

@@ -78,7 +78,10 @@ def words(c: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 def prefix(values: np.ndarray) -> np.ndarray:
     """Sums s with s[j] - s[i] = sum of values[i:j] * BASE**position, modulo 2**64."""
     out = np.zeros(len(values) + 1, U)
-    np.cumsum((values.astype(U) + U(1)) * powers(BASE, len(values)), out=out[1:])
+    terms = values.astype(U)
+    terms += U(1)
+    terms *= powers(BASE, len(values))
+    np.cumsum(terms, out=out[1:])
     return out
 
 
