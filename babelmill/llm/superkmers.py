@@ -5,6 +5,11 @@ Consecutive windows with one minimiser travel as one packed string, their words
 about three words a window and not k. In a bucket the windows of strings that share a minimiser are sorted; equal
 neighbours are counted after their words have been compared.
 
+A first scan counts strings by minimiser in a fixed number of slots. Minimisers of a slot that holds more than half of
+what a bucket holds on average are hot: a passage that much of a corpus shares would fill one task. The windows of hot
+minimisers go by themselves, as 128-bit hashes of their words with their places, to aggregates that combine before their
+exchange and a join that AQE splits. All windows of the same words have the same minimiser, so each is counted in one way.
+
 Contract of ``repeated_spans``: a row (doc_id, start_word, end_word, copies, kept) for each maximal span of words of a
 document that is covered by windows occurring at least twice (in whichever documents). Words are runs without ASCII
 white space, counted from 0; ``copies`` is the largest number of places any window of the span has; ``kept`` is true
@@ -21,26 +26,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .blobs import by_text, exchange, tune
+from .candidates import SLOTS, Sets, frequencies
 from .text import CHUNK, U, codes, mix, prefix, rolling, runs, sliding_min, span_hash, words
 
 K, M = 50, 8
 FINER = 4  # buckets a shuffle partition
+HOT = 5000  # strings that are never too many for a task
 
 SENT = "bucket int, key binary, doc binary, at binary, size binary, twice binary, packed binary"
 
 
-def super_kmers(texts: list[str], k: int = K, m: int = M) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(minimiser, text index, first word, whether the minimiser occurs twice, packed words) of the super-k-mers of every text."""
+def stretches(texts: list[str], k: int = K, m: int = M) -> tuple[np.ndarray, ...]:
+    """(minimiser, text index, first word, its place in the text, last window's first word, whether the minimiser occurs
+    twice) of the super-k-mers of every text, and the starts and ends of all words."""
     c, offsets = codes(texts)
     starts, ends, which = words(c, offsets)
     n = len(starts) - k + 1
     if n <= 0:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), []
+        return np.zeros(0, U), *(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, bool), starts, ends
     short = rolling(span_hash(prefix(c), starts, ends), m)
     least = sliding_min(short, k - m + 1)
     inside = which[:n] == which[k - 1 : k - 1 + n]
@@ -53,13 +63,44 @@ def super_kmers(texts: list[str], k: int = K, m: int = M) -> tuple[np.ndarray, n
     inner = last - first + k - m + 1
     same = short[np.repeat(first, inner) + runs(inner)] == np.repeat(least[first], inner)
     twice = np.add.reduceat(same, np.cumsum(inner) - inner, dtype=np.int64) > 1 if len(first) else np.zeros(0, bool)
+    return least[first], which[first], first, first - base, last, twice, starts, ends
+
+
+def slots(key: np.ndarray) -> np.ndarray:
+    """The slot of each minimiser, one of SLOTS."""
+    return (mix(key, 10) >> U(44)).astype(np.int64)
+
+
+def super_kmers(texts: list[str], k: int = K, m: int = M, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(minimiser, text index, first word, whether the minimiser occurs twice, packed words) of the super-k-mers of every
+    text, but for those of hot slots."""
+    key, which, first, place, last, twice, starts, ends = stretches(texts, k, m)
+    if hot is not None:
+        cold = ~hot[slots(key)]
+        key, which, first, place, last, twice = (x[cold] for x in (key, which, first, place, last, twice))
     joined = "".join(texts)
     packed = [b" ".join(joined[a:b].encode().split()) for a, b in zip(starts[first].tolist(), ends[last + k - 1].tolist())]
-    return least[first], which[first], first - base, twice, packed
+    return key, which, place, twice, packed
 
 
-def pack(ids: list, texts: list[str], count: int, k: int, m: int) -> pa.RecordBatch:
-    key, text, at, twice, packed = super_kmers(texts, k, m)
+def hot_windows(ids: list, texts: list[str], hot: np.ndarray, k: int, m: int) -> Iterator[pa.RecordBatch]:
+    """(h, g, doc, low) of every window of a hot minimiser: two halves of the hash of its words, and its place."""
+    key, which, first, place, last, _, starts, ends = stretches(texts, k, m)
+    wanted = np.flatnonzero(hot[slots(key)])
+    joined = "".join(texts)
+    doc = np.array(ids, np.int64)
+    for low in range(0, len(wanted), 1 << 12):
+        i = wanted[low : low + (1 << 12)]
+        count = last[i] - first[i] + 1
+        word = np.repeat(first[i], count) + runs(count)
+        digests = b"".join([xxhash.xxh3_128_digest(b" ".join(joined[a:b].encode().split())) for a, b in zip(starts[word].tolist(), ends[word + k - 1].tolist())])
+        halves = np.frombuffer(digests, ">i8").reshape(-1, 2).astype(np.int64)
+        columns = [halves[:, 0], halves[:, 1], np.repeat(doc[which[i]], count), np.repeat(place[i], count) + runs(count)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["h", "g", "doc", "low"])
+
+
+def pack(ids: list, texts: list[str], count: int, k: int, m: int, hot: np.ndarray | None = None) -> pa.RecordBatch:
+    key, text, at, twice, packed = super_kmers(texts, k, m, hot)
     key = mix(key, 9)
     bucket = ((key >> U(32)) * U(count) >> U(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -133,13 +174,25 @@ def count_windows(strings: list[bytes], group: np.ndarray, doc: np.ndarray, at:
     return d[hit[heads]], p[hit[heads]], p[hit[last]], np.maximum.reduceat(copies[hit], heads), fresh[hit[heads]].astype(np.int64)
 
 
-def repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = K, m: int = M) -> DataFrame:
-    """Spans of words that stand in more than one place. Two exchanges: super-k-mers by minimiser, runs by document."""
+def repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = K, m: int = M, most: int = HOT) -> DataFrame:
+    """Spans of words that stand in more than one place. Two exchanges: super-k-mers by minimiser, runs by document.
+
+    most: strings of a slot that never make it hot.
+    """
     partitions = tune(df.sparkSession)
     docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
 
+    held = frequencies(docs, partitions, Sets(len, lambda texts: (np.zeros(0, np.int64), mix(stretches(texts, k, m)[0], 10))))
+    total = int(held.sum(dtype=np.int64))
+    limit = max(most, total / (2 * partitions * FINER), 4 * total / SLOTS)
+    found_hot = held > limit
+    hot = df.sparkSession.sparkContext.broadcast(found_hot) if found_hot.any() else None  # SLOTS bytes, whatever the input
+
     def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        yield pack(ids, texts, partitions * FINER, k, m)
+        yield pack(ids, texts, partitions * FINER, k, m, hot and hot.value)
+
+    def alone(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        return hot_windows(ids, texts, hot.value, k, m)
 
     def sort(held: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
         key = np.frombuffer(b"".join(held["key"]), U)
@@ -189,6 +242,11 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
     sent = docs.mapInArrow(by_text(send), SENT)
     found = exchange(sent, partitions).mapInArrow(meet, "doc long, low long, high long, copies long, kept long")
+    if hot is not None:
+        windows = cut(docs.mapInArrow(by_text(alone), "h long, g long, doc long, low long").distinct())
+        several = windows.groupBy("h", "g").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "low")).alias("first")).where("copies > 1")
+        kept = (F.struct("doc", "low") == F.col("first")).cast("long").alias("kept")
+        found = found.unionAll(windows.join(several, ["h", "g"]).select("doc", "low", F.col("low").alias("high"), "copies", kept))
     by_doc = Window.partitionBy("doc", "kept").orderBy("low", "high")
     reach = F.max("high").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     marked = found.withColumn("new", F.coalesce(F.col("low") > reach + k, F.lit(True)).cast("int"))

@@ -222,6 +222,8 @@ def test_repeats_equal_sql_and_brute_force(spark):
     documents = docs.select("doc_id", "text").toPandas()
     con.register("documents", documents)
     assert got == sorted(con.sql(superkmers.ORACLE).fetchall())
+    for most in (0, 1, 3):  # all or some minimisers are hot
+        assert got == sorted(tuple(r) for r in superkmers.repeated_spans(docs, most=most).collect())
     windows = {}
     for i, t in sorted(set(rows), key=str):
         if i is not None and t:
