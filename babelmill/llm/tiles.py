@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .grams import gram_sets
 from .text import U, chunks, mix
 
@@ -90,7 +91,7 @@ def compared(docs: DataFrame, group: DataFrame, partitions: int, n: int, nearest
     """
     sizes = docs.groupBy("id").agg(F.sum(F.octet_length("text")).alias("size"))
     cost = F.greatest("size", F.lit(CHUNK_BYTES // CHUNK_DOCS))
-    placed = group.join(sizes, group["node"] == sizes["id"]).select("node", "root", "weight", cost.alias("cost"))
+    placed = cut(group.join(sizes, group["node"] == sizes["id"]).select("node", "root", "weight", cost.alias("cost")))  # read twice
     total = placed.groupBy("root").agg(F.sum("cost").alias("total"))
     several = F.when(F.col("total") > CHUNK_BYTES, F.ceil(2 * F.col("total") / CHUNK_BYTES) - 1).otherwise(0).cast("int")
     placed = placed.join(total, "root").withColumn("last", several)
