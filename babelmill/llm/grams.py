@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .text import U, codes, mix, prefix, rolling, span_hash, words
+from .text import U, codes, distinct, mix, prefix, rolling, span_hash, words
 
 N = 3
 
@@ -35,5 +35,5 @@ def gram_sets(texts: list[str], n: int = N) -> tuple[np.ndarray, np.ndarray]:
         tail[more] = mix(tail[more] ^ h[at[more] + j])
     text = np.concatenate([which[: len(grams)][inside], few]).astype(U)
     value = np.concatenate([grams[inside], mix(tail, 5)])
-    pairs = np.unique(text << U(44) | value >> U(20))
+    pairs = distinct(text << U(44) | value >> U(20))
     return (pairs >> U(44)).astype(np.int64), pairs & U((1 << 44) - 1)

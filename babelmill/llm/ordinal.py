@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..session import cut
 from .blobs import named, tune, unused
-from .text import chunks, codes, mix, prefix, span_hash
+from .text import chunks, codes, distinct, mix, prefix, span_hash
 
 BITS = 18
 PER_GRADE = 4000
@@ -74,24 +74,24 @@ def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray
     text = np.searchsorted(offsets, starts, "right") - 1
     word = solid[starts] == 0 if len(starts) else np.zeros(0, bool)
     mask, sums = np.uint64((1 << bits) - 1), prefix(lower[c])
-    pairs = np.unique(text.astype(np.uint64) << np.uint64(bits) | span_hash(sums, starts, ends) & mask)
+    pairs = distinct(text.astype(np.uint64) << np.uint64(bits) | span_hash(sums, starts, ends) & mask)
     long = word & (ends - starts > STEM)
     stems = mix(span_hash(sums, starts[long], starts[long] + STEM), 3) & mask
     words = np.bincount(text[word], minlength=n)
     marks = np.bincount(text[~word], minlength=n)
-    distinct = np.bincount((pairs >> np.uint64(bits)).astype(np.int64), minlength=n)
+    different = np.bincount((pairs >> np.uint64(bits)).astype(np.int64), minlength=n)
     upper = np.bincount(np.searchsorted(offsets, np.flatnonzero(kind == 3), "right") - 1, minlength=n)
     letters = np.bincount(text[word], (ends - starts)[word], minlength=n)
     shares = [
         np.log2(words + 1),
-        10 * distinct / np.maximum(words + marks, 1),
+        10 * different / np.maximum(words + marks, 1),
         10 * upper / np.maximum(letters, 1),
         10 * marks / np.maximum(words + marks, 1),
         np.minimum(letters / np.maximum(words, 1), 30),
     ]
     dense = [mix((share.astype(np.int64) + 64 * g).astype(np.uint64), 7) & np.uint64((1 << bits) - 1) for g, share in enumerate(shares)]
     who = np.tile(np.arange(n), len(dense))
-    pairs = np.union1d(pairs, text[long].astype(np.uint64) << np.uint64(bits) | stems)
+    pairs = distinct(np.concatenate([pairs, text[long].astype(np.uint64) << np.uint64(bits) | stems]))
     return np.concatenate([(pairs >> np.uint64(bits)).astype(np.int64), who]), np.concatenate([pairs & np.uint64((1 << bits) - 1), *dense]).astype(np.int64)
 
 
