@@ -312,6 +312,30 @@ def test_nearest_neighbours_of_large_groups(spark, count):
     assert hits / total >= 0.9
 
 
+def test_packing_groups_hold_all_pairs_of_a_bucket(spark):
+    shared = words(40, 1)  # of all documents, so that unlike ones meet in buckets
+    texts = {i: f"{shared} {words(150, 1000 + i)}" for i in range(150)}
+    for i in range(150, 450):
+        texts[i] = edited(texts[i - 150 if i < 300 else i - 300], 0.17 + 0.01 * (i % 3), i)
+    sets = {i: jaccard.word_ngrams(t) for i, t in texts.items()}
+    alike = [(a, b) for a, b in itertools.combinations(texts, 2) if len(sets[a] & sets[b]) >= packing.LEAST * len(sets[a] | sets[b])]
+    docs = frame(spark, [*texts.items(), *ODD]).selectExpr("doc_id as id", "text")
+    root = {r["node"]: r["root"] for r in packing.grouped_documents(docs).collect()}
+    held = sum(root.get(a, -1) == root.get(b, -2) for a, b in alike)
+    assert len(alike) > 250 and held >= 0.97 * len(alike), (held, len(alike))  # with three neighbours a bucket 267 of 282
+
+
+def test_spanning_pairs_connect_all_that_agree():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, (12, packing.SIGNATURE), dtype=np.uint8)
+    rows = base[rng.integers(0, 12, 300)]
+    rows = np.where(rng.random(rows.shape) < 0.5, rng.integers(0, 256, rows.shape, dtype=np.uint8), rows)
+    agree = [(a, b) for a, b in itertools.combinations(range(300), 2) if (rows[a] == rows[b]).mean() >= packing.LINK]
+    i, j = packing.spanning(rows)
+    assert len(agree) > 1000 and len(i) < 300 and {(min(p), max(p)) for p in zip(i.tolist(), j.tolist())} <= set(agree)
+    assert roots(range(300), list(zip(i.tolist(), j.tolist()))) == roots(range(300), agree)
+
+
 def plain_packing(rows, edges, window):
     """The walk and the fill by their definition: one list of all documents, cut into windows."""
     near = {}
