@@ -1,5 +1,7 @@
 """From shared keys to verified groups, without listing the square of a key's holders.
 
+Keys are those of the callers, or elements of the sets themselves (``prefix_groups``), which miss no pair.
+
 Texts that share a key form a key group. First every member is compared with the group's smallest member; the pairs
 that hold are joined into components. What then remains are key groups whose members lie in different components.
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .blobs import by_text, exchange, unpack
+from .blobs import by_text, exchange, pack, schema, unpack
 from .components import components
 from .text import U, mix, runs
 
@@ -44,26 +46,30 @@ class Sets:
 FIELDS = {"key": "<u8", "member": "<i8"}
 PER_SALT = 4000  # members of one leader that a task compares
 SMALL = 16  # members of a key group of which all pairs are compared
+SHORT = {"key": "<u4", "member": "<i8"}  # buckets go by the other half of the key; equal halves by chance cost a comparison
+SAMPLE, OFTEN, KNOWN = 40_000, 2, 1 << 20  # texts whose elements are counted; least count and number of elements that are told
 SLOTS, PARTS = 1 << 20, 64  # counters of elements, which order them by frequency; and the rows that they are summed in
 
 
-def key_groups(sent: DataFrame, partitions: int) -> DataFrame:
+def key_groups(sent: DataFrame, partitions: int, fields: dict[str, str] = FIELDS) -> DataFrame:
     """(gid, member, leader) rows of the distinct sets of at least two members that share a key; written once."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, x in unpack(batches, FIELDS):
+        for _, x in unpack(batches, fields):
             order = np.lexsort((x["member"], x["key"]))
             key, member = x["key"][order], x["member"][order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
             key, member = key[new], member[new]
+            again = np.append(key[1:] == key[:-1], False)[: len(key)]
+            shared = again | np.append(False, again)[: len(key)]
+            key, member = key[shared], member[shared]
             first = np.flatnonzero(np.concatenate([[len(key) > 0], key[1:] != key[:-1]])[: len(key)])
             size = np.diff(np.append(first, len(key)))
             if not len(first):
                 continue
             gid = np.add.reduceat(mix(member.view(np.uint64), 11), first) ^ mix(size.astype(np.uint64), 12)
             _, once = np.unique(gid, return_index=True)
-            once = once[size[once] > 1]
             keep = np.zeros(len(first), bool)
             keep[once] = True
             rows = np.repeat(keep, size)
@@ -148,7 +154,7 @@ def frequencies(items: DataFrame, partitions: int, sets: Sets) -> np.ndarray:
 
 def prefixes(text: np.ndarray, element: np.ndarray, frequency: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
     """(text, element, place, size) of the elements in the prefix of each set, from the rarest on; places count from 0."""
-    order = np.lexsort((element, frequency[(element >> U(44)).astype(np.int64)], text))
+    order = np.lexsort((element, frequency, text))
     text, element = text[order], element[order]
     sizes = np.bincount(text)
     sizes = sizes[sizes > 0]
@@ -157,13 +163,65 @@ def prefixes(text: np.ndarray, element: np.ndarray, frequency: np.ndarray, least
     return text[kept], element[kept], place[kept], size[kept]
 
 
+def common(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(halves of elements, counts) that occur often in a sample of about ``SAMPLE`` of the (id, text) rows, at most ``KNOWN``.
+
+    The counts only set an order of elements: whatever the sample misses costs comparisons and loses nothing.
+    """
+    every = max(1, -(-docs.select("id").count() // SAMPLE))
+
+    def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        _, element = elements(texts)
+        yield pack(element, partitions, {"element": element.astype(np.uint32)})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, x in unpack(batches, {"element": "<u4"}):
+            value = np.sort(x["element"])
+            first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+            count = np.diff(np.append(first, len(value)))
+            kept = np.flatnonzero(count >= OFTEN)
+            kept = kept[np.argsort(-count[kept], kind="stable")[: 1 + 2 * KNOWN // partitions]]
+            columns = [value[first[kept]].tobytes(), count[kept].astype(np.uint32).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["value", "count"])
+
+    sampled = docs.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).mapInArrow(by_text(send), schema({"element": "<u4"}))
+    rows = exchange(sampled, partitions).mapInArrow(meet, "value binary, count binary").collect()
+    value, count = np.frombuffer(b"".join(r[0] for r in rows), np.uint32), np.frombuffer(b"".join(r[1] for r in rows), np.uint32)
+    most = np.lexsort((value, -count.astype(np.int64)))[:KNOWN]
+    order = most[np.argsort(value[most], kind="stable")]
+    return value[order], count[order]
+
+
+def prefix_groups(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], least: float) -> DataFrame:
+    """(gid, member, leader) rows of key groups in which any two sets of (id, text) rows meet whose Jaccard index is at least ``least``.
+
+    The keys of a set are the elements of its prefix: two sets that reach the index share one of them, whatever the order.
+    """
+    often = docs.sparkSession.sparkContext.broadcast(common(docs, partitions, elements))
+
+    def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        text, element = elements(texts)
+        value, count = often.value
+        frequency = np.zeros(len(element), np.uint32)
+        if len(value):
+            half = element.astype(np.uint32)
+            at = np.minimum(np.searchsorted(value, half), len(value) - 1)
+            frequency = np.where(value[at] == half, count[at], 0)
+        text, element, _, _ = prefixes(text, element, frequency, least)
+        key = mix(element, 14)
+        yield pack(key, partitions, {"key": key.astype(np.uint32), "member": np.array(ids, np.int64)[text]})
+
+    return key_groups(docs.select("id", "text").mapInArrow(by_text(send), schema(SHORT)), partitions, SHORT)
+
+
 def by_prefix(members: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:
     """(a, b) pairs of members (member, root) of different roots that may reach the index; misses none that does."""
     own = cut(members.join(items.select("id", "text"), members["member"] == items["id"]).select("id", "text", "root"))
     frequency = items.sparkSession.sparkContext.broadcast(frequencies(own.select("id", "text"), partitions, sets))
 
     def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        text, element, place, size = prefixes(*sets.elements(texts), frequency.value, least)
+        text, element = sets.elements(texts)
+        text, element, place, size = prefixes(text, element, frequency.value[(element >> U(44)).astype(np.int64)], least)
         columns = [np.array(ids, np.int64)[text], element.view(np.int64), place.astype(np.int32), size.astype(np.int32)]
         for low in range(0, len(text), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(c[low : low + (1 << 16)]) for c in columns], names=["id", "element", "place", "size"])

@@ -1,16 +1,11 @@
 """N-gram Jaccard join of documents over parity sketches.
 
-A document is the set of its word n-grams. A sketch has P blocks; every n-gram falls into one block and flips one
-parity bit there, chosen by its hash. XOR cancels what two sets share, so the Hamming distance of two sketches is at
-most the size of their symmetric difference, which a Jaccard index of t bounds by D = (1-t)/(1+t) (|A|+|B|).
-
-* Blocks of the join are as wide as the hash (2**44 bits) and sparse, so a block travels as the XOR of mixed bit
-  positions: equal for equal parities. By pigeonhole two sets within D agree in at least P - D blocks; P is set for
-  each size band so that agreement on a block of two or more n-grams is expected at least ``HITS`` times at the
-  threshold (Poisson; a pair there is missed with probability below e**-HITS). Small bands take P = D + 1 blocks of
-  any content, where an agreeing block is certain.
-* A band holds sizes whose ratio is at most 1/t; a document is keyed in its own band and the next, so partners in
-  adjacent bands meet.
+A document is the set of its word n-grams. A sketch flips one parity bit for every n-gram, chosen by its hash. XOR
+cancels what two sets share, so the Hamming distance of two sketches is at most the size of their symmetric difference,
+which a Jaccard index of t bounds by D = (1-t)/(1+t) (|A|+|B|).
+
+* Two sets of index t and more share an n-gram of both prefixes: of x n-grams, from rare to frequent, the first
+  x - ceil(t x) + 1. Those are the keys (see ``candidates``), so no pair at the threshold is left out at any size.
 * Candidates are pruned by the Hamming bound on folded, dense sketches, then verified by the exact Jaccard index.
 
 Contract of ``duplicate_groups``: a row (doc_id, group_id, links, partner_id, jaccard) for each document of each group of
@@ -32,7 +27,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,67 +34,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .blobs import by_text, pack, schema, tune, unused
-from .candidates import FIELDS, Sets, grouped, key_groups
+from .blobs import by_text, tune, unused
+from .candidates import Sets, grouped, prefix_groups
 from .grams import N, gram_sets, word_ngrams
 from .text import U, mix
 from .tiles import compared
 
 LEAST = 0.55
-HITS = 4.0
-
-
-@lru_cache(None)
-def blocks(band: int, t: float) -> tuple[int, int, int]:
-    """(P, least n-grams of a usable block, D) of a size band."""
-    top = t ** -(band + 1)
-    ratio = (1 - t) / (1 + t)
-    d = int(ratio * 2 * top + 1e-9)
-
-    def hits(p: int, both: float) -> float:
-        gone, shared = ratio * both / p, t * 2 / (1 + t) * both / 2 / p
-        return p * math.exp(-gone) * (1 - math.exp(-shared) * (1 + shared))
-
-    p = max(2, d // 6)
-    while p <= d and min(hits(p, 2 * top), hits(p, (1 + t) * top), hits(p, (1 + t) * top * t)) < HITS:
-        p += max(1, p // 24)
-    return (p, 2, d) if p <= d and top > 40 else (d + 1, 1, d)
-
-
-def block_keys(text: np.ndarray, gram: np.ndarray, n_texts: int, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text index) of the usable blocks of every text, in its own size band and the next."""
-    size = np.bincount(text, minlength=n_texts)
-    own = np.floor(np.log(np.maximum(size, 1)) / -math.log(t) + 1e-9).astype(np.int64)
-    bit = mix(gram, 1)
-    keys, texts = [], []
-    for up in (0, 1):
-        band = own + up
-        known = {b: blocks(b, t) for b in np.unique(band).tolist()}
-        p = np.array([known[b][0] for b in band.tolist()], np.int64)
-        least = np.array([known[b][1] for b in band.tolist()], np.int64)
-        block = ((mix(gram, 2) >> U(33)) * p[text].astype(U) >> U(31)).astype(np.int64)
-        begin = np.cumsum(p) - p
-        cell = begin[text] + block
-        order = np.argsort(cell, kind="stable")
-        ordered = cell[order]
-        first = np.flatnonzero(np.concatenate([[len(ordered) > 0], ordered[1:] != ordered[:-1]])[: len(ordered)])
-        if not len(first):
-            continue
-        parity = np.bitwise_xor.reduceat(bit[order], first)
-        filled = np.diff(np.append(first, len(ordered)))
-        owner = text[order][first]
-        usable = filled >= least[owner]
-        owner, parity, number = owner[usable], parity[usable], block[order][first][usable]
-        keys.append(mix(mix(parity, 3) ^ mix((band[owner] << 32 | number).astype(U), 4)))
-        texts.append(owner)
-    if not keys:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(texts)
 
 
 def dense_sketch(gram: np.ndarray, t: float) -> np.ndarray:
-    """A packed parity sketch of 2**w bits, at least 4 a possible differing n-gram; halves fold onto each other by XOR."""
-    width = 1 << max(8, math.ceil(math.log2(4 * max(len(gram), 1) * (1 - t) / (1 + t) * (1 + 1 / t))))
+    """A packed parity sketch of 2**w bits, at least 2 a possible differing n-gram; halves fold onto each other by XOR."""
+    width = 1 << max(8, math.ceil(math.log2(2 * max(len(gram), 1) * (1 - t) / (1 + t) * (1 + 1 / t))))
     bits = np.bincount((mix(gram, 6) & U(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8))
 
@@ -149,11 +94,6 @@ def alike(docs: DataFrame, least: float = LEAST, n: int = N) -> DataFrame:
     partitions = tune(docs.sparkSession)
     texts = docs.select(F.col("h").alias("id"), "text", "check")
 
-    def send(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        text, gram = gram_sets(texts, n)
-        keys, owner = block_keys(text, gram, len(texts), least)
-        yield pack(keys, partitions, {"key": keys, "member": np.array(ids, np.int64)[owner]})
-
     def sketch(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
         text, gram = gram_sets(texts, n)
         parts = np.split(gram, np.cumsum(np.bincount(text, minlength=len(texts)))[:-1])
@@ -165,7 +105,7 @@ def alike(docs: DataFrame, least: float = LEAST, n: int = N) -> DataFrame:
         text, gram = gram_sets(texts, n)
         return text, mix(gram, 13)
 
-    groups = key_groups(texts.select("id", "text").mapInArrow(by_text(send), schema(FIELDS)), partitions)
+    groups = prefix_groups(texts, partitions, elements, least)
     needed = groups.select(F.col("member").alias("id")).distinct()
     wanted = texts.join(needed, "id", "left_semi").groupBy("id").agg(F.min_by("text", "check").alias("text"))
     items = cut(wanted.mapInArrow(by_text(sketch), "id long, text string, grams int, sketch binary"))
