@@ -385,21 +385,17 @@ def test_packing_against_a_plain_walk(spark):
     assert got == sorted(plain_packing(rows, edges, 64))
 
 
-def test_large_groups_are_walked_in_pieces(spark):
-    rng = random.Random(3)
-    edges = [(0, a, b, s) for a in range(60) for b, s in ((rng.randrange(60), rng.choice([0.3, 0.5, 0.9])) for _ in range(3)) if a != b] + [(100, 100, 101, 0.3)]
-    out = [tuple(r) for r in packing.in_pieces(spark.createDataFrame(edges, "root long, a long, b long, similarity double"), 12).collect()]
-    assert {r[1:] for r in out} <= {e[1:] for e in edges} and (100, 100, 101, 0.3) in out
-    held = {}
-    for root, a, b, _ in out:
-        assert held.setdefault(a, root) == held.setdefault(b, root) == root
-    assert max(list(held.values()).count(r) for r in set(held.values())) <= 20 and len(set(held.values())) > 3
+def test_large_groups_are_walked_whole(spark):
     rows = [(i, edited(words(80, 5), 0.05, i)) for i in range(60)]
     packed = [tuple(r) for r in packing.pack_documents(frame(spark, rows), piece=8).collect()]
     size = {}
     for _, _, i, a, b in packed:
         size[i] = size.get(i, 0) + b - a
     assert size == {i: len(t.split()) for i, t in rows}
+    assert sorted(packed) == sorted(tuple(r) for r in packing.pack_documents(frame(spark, rows)).collect())
+    near = [*near_texts().items()]
+    small, large = ({tuple(r) for r in packing.paths(frame(spark, near).selectExpr("doc_id as id", "text"), most).collect()} for most in (1000, 1))
+    assert small == large and len(small) > 30
 
 
 def test_parts_are_components():
