@@ -1,6 +1,6 @@
 """From shared keys to verified groups, without listing the square of a key's holders.
 
-Keys are those of the callers, or elements of the sets themselves (``prefix_groups``), which miss no pair.
+Keys are those of the callers, or elements of the sets themselves (``prefix_pairs``), which miss no pair.
 
 Texts that share a key form a key group. First every member is compared with the group's smallest member; the pairs
 that hold are joined into components. What then remains are key groups whose members lie in different components.
@@ -13,6 +13,9 @@ that hold are joined into components. What then remains are key groups whose mem
   grow with the texts. That test is exact: only pairs between the threshold and what the bounds can tell apart from
   it are compared in vain.
 
+``prefix_pairs`` lists the pairs of a key group that sizes and places of the key don't rule out, at most SMALL / 2 a
+member; groups of more are kept as groups. ``matched`` then goes the same way from there.
+
 So two texts that share a key end in one component exactly if a chain of verified pairs joins them, while a group of n
 near copies costs about n comparisons a key, not n squared.
 """
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, release
 from .blobs import by_text, exchange, pack, schema, unpack
 from .components import components
 from .text import U, mix, runs
@@ -46,7 +49,9 @@ class Sets:
 FIELDS = {"key": "<u8", "member": "<i8"}
 PER_SALT = 4000  # members of one leader that a task compares
 SMALL = 16  # members of a key group of which all pairs are compared
-SHORT = {"key": "<u4", "member": "<i8"}  # buckets go by the other half of the key; equal halves by chance cost a comparison
+PLACED = {"key": "<u4", "member": "<i8", "size": "<u4", "part": "<u1"}  # buckets go by the other half of the key; equal halves by chance cost a comparison
+STEPS = 256  # a place in a prefix is told in so many steps, rounded to the front
+BITS = 1 << 25  # of the sieve of ids, which every executor holds: 4 MB
 SAMPLE, OFTEN, KNOWN = 40_000, 2, 1 << 20  # texts whose elements are counted; least count and number of elements that are told
 SLOTS, PARTS = 1 << 20, 64  # counters of elements, which order them by frequency; and the rows that they are summed in
 
@@ -192,10 +197,62 @@ def common(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tup
     return value[order], count[order]
 
 
-def prefix_groups(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], least: float) -> DataFrame:
-    """(gid, member, leader) rows of key groups in which any two sets of (id, text) rows meet whose Jaccard index is at least ``least``.
+def listed(key: np.ndarray, member: np.ndarray, size: np.ndarray, reach: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+    """(gid, a, b): of each key group, rows sorted by key and member, the pairs a < b that may reach the index, with gid 0.
+
+    size: elements of the member's set; reach: at most so many of them come at and after the key. A group with more than
+    SMALL / 2 such pairs a member is given as a whole, with a gid of its own: a is its smallest member, b each of the others.
+    """
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(key)))
+
+    def may(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        both = np.minimum(size[x], size[y]) >= least * np.maximum(size[x], size[y]) - 1e-6
+        return both & (np.minimum(reach[x], reach[y]) >= least / (1 + least) * (size[x] + size[y]) - 1e-6)
+
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    at = np.flatnonzero(np.repeat(count <= SMALL, count))
+    last = np.repeat(first + count, count)
+    for gap in range(1, SMALL):
+        at = at[at + gap < last[at]]
+        kept = at[may(at, at + gap)]
+        out.append((kept, kept + gap))
+    whole: list[tuple[int, int]] = []
+    for low, n in zip(first[count > SMALL].tolist(), count[count > SMALL].tolist()):
+        here: list[tuple[np.ndarray, np.ndarray]] = []
+        total, rows = 0, np.arange(low, low + n)
+        for x in range(0, n, 256):  # a few rows of the square at once, no more of them once it's clear that there are too many
+            i, j = np.nonzero(may(rows[x : x + 256, None], rows[None, :]))
+            upper = i + x < j
+            here.append((rows[i[upper] + x], rows[j[upper]]))
+            total += int(upper.sum())
+            if total > SMALL // 2 * n:
+                whole.append((low, n))
+                break
+        else:
+            out += here
+    a, b = (np.concatenate([x[i] for x in out]) for i in (0, 1))
+    a, b = member[a], member[b]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    parts, seen = [(np.zeros(int(new.sum()), np.int64), a[new], b[new])], set()
+    for low, n in whole:
+        own = member[low : low + n]
+        gid = int((np.bitwise_xor.reduce(mix(own.view(U), 11)) ^ mix(np.array([n], U), 12)[0]) | U(1))
+        if gid not in seen:
+            seen.add(gid)
+            parts.append((np.full(n - 1, gid, U).view(np.int64), np.full(n - 1, own[0]), own[1:]))
+    return tuple(np.concatenate([x[i] for x in parts]) for i in range(3))
+
+
+def prefix_pairs(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], least: float) -> DataFrame:
+    """(gid, a, b) rows in which any two sets of (id, text) rows meet whose Jaccard index is at least ``least``; written once.
 
     The keys of a set are the elements of its prefix: two sets that reach the index share one of them, whatever the order.
+    A key travels with the size of its set and its place in the prefix, so that only pairs leave a bucket that these
+    don't rule out; groups of very many such pairs leave it as groups (see ``listed``).
     """
     often = docs.sparkSession.sparkContext.broadcast(common(docs, partitions, elements))
 
@@ -207,11 +264,44 @@ def prefix_groups(docs: DataFrame, partitions: int, elements: Callable[[list[str
             half = element.astype(np.uint32)
             at = np.minimum(np.searchsorted(value, half), len(value) - 1)
             frequency = np.where(value[at] == half, count[at], 0)
-        text, element, _, _ = prefixes(text, element, frequency, least)
+        text, element, place, size = prefixes(text, element, frequency, least)
         key = mix(element, 14)
-        yield pack(key, partitions, {"key": key.astype(np.uint32), "member": np.array(ids, np.int64)[text]})
+        part = place * STEPS // held_back(size, least)
+        yield pack(key, partitions, {"key": key.astype(np.uint32), "member": np.array(ids, np.int64)[text], "size": size.astype(np.uint32), "part": part.astype(np.uint8)})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, x in unpack(batches, PLACED):
+            order = np.lexsort((x["part"], x["member"], x["key"]))  # of elements of one set with equal keys the first counts
+            key, member = x["key"][order], x["member"][order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
+            order, key = order[new], key[new]
+            again = np.append(key[1:] == key[:-1], False)[: len(key)]
+            shared = again | np.append(False, again)[: len(key)]
+            order, key = order[shared], key[shared]
+            size = x["size"][order].astype(np.int64)
+            before = -(-x["part"][order].astype(np.int64) * held_back(size, least) // STEPS)
+            out = listed(key, x["member"][order], size, size - before, least)
+            for low in range(0, len(out[0]), 1 << 18):
+                yield pa.RecordBatch.from_arrays([pa.array(o[low : low + (1 << 18)]) for o in out], names=["gid", "a", "b"])
+
+    rows = exchange(docs.select("id", "text").mapInArrow(by_text(send), schema(PLACED)), partitions)
+    return cut(rows.mapInArrow(meet, "gid long, a long, b long").distinct())
 
-    return key_groups(docs.select("id", "text").mapInArrow(by_text(send), schema(SHORT)), partitions, SHORT)
+
+def held_back(size: np.ndarray, least: float) -> np.ndarray:
+    """The number of elements in the prefixes of sets of these sizes."""
+    return (size - np.ceil(least * size - 1e-9) + 1).astype(np.int64)
+
+
+def within(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is one of ids (id), and few others: a sieve of BITS bits, so that few texts travel to a join."""
+    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(BITS)).alias("s"))
+    held = slots.groupBy(F.bitmap_bucket_number("s").alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("_held"))
+    asked = rows.withColumn("_slot", F.pmod(F.xxhash64("id"), F.lit(BITS))).withColumn("_bit", F.bitmap_bit_position("_slot"))
+    met = asked.join(F.broadcast(held), F.bitmap_bucket_number("_slot") == F.col("_part"))
+    byte = "cast(conv(hex(substring(_held, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return met.where(F.expr(f"getbit({byte}, cast(_bit % 8 as int)) = 1")).select(*rows.columns)
 
 
 def by_prefix(members: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:
@@ -253,14 +343,43 @@ def rest(groups: DataFrame, joined: DataFrame, items: DataFrame, partitions: int
     return pairs.unionAll(by_prefix(many, items, partitions, sets, least)).distinct()
 
 
-def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float, prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:
     """(node, root) of the verified components."""
-    narrow = (lambda pairs: cut(prune(pairs))) if prune else (lambda pairs: pairs)  # written, as verified() reads its pairs twice
     stars = groups.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    first = cut(verified(narrow(stars), items, partitions, sets, least))
+    first = cut(verified(stars, items, partitions, sets, least))
     joined = components(first)
-    left = rest(groups, joined, items, partitions, sets, least)
-    others = cut(prune(left) if prune else left)
+    others = cut(rest(groups, joined, items, partitions, sets, least))
     if others.isEmpty():
         return joined
     return components(first.unionAll(cut(verified(others, items, partitions, sets, least))))
+
+
+def matched(found: DataFrame, items: Callable[[DataFrame], DataFrame], partitions: int, sets: Sets, least: float, prune: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, root) of the verified components of the rows of ``prefix_pairs``.
+
+    items: (id, text) of at least the ids of a table. First each text is compared with the smallest of its partners; of
+    the others those in different components are compared, and so are members of whole groups, by finer prefixes.
+    """
+    near = cut(prune(found.select("a", "b").distinct()))
+    ends = near.select(F.col("a").alias("id")).unionAll(near.select("b")).distinct()
+    first = cut(verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), items(ends), partitions, sets, least))
+    release(found.sparkSession)
+    joined = components(first)
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        a, b = (joined.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b"))
+        split = pairs.join(a, "a", "left").join(b, "b", "left")
+        return split.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+    others = apart(near)
+    groups = found.where("gid <> 0")
+    if not groups.isEmpty():
+        members = groups.select("gid", F.col("b").alias("member"), F.col("a").alias("leader"))
+        members = members.unionAll(groups.select("gid", F.col("a").alias("member"), F.col("a").alias("leader")).distinct())
+        held = items(members.select(F.col("member").alias("id")).distinct())
+        others = others.unionAll(cut(prune(cut(rest(members, joined, held, partitions, sets, least))))).distinct()
+    others = cut(others)
+    if others.isEmpty():
+        return joined
+    ends = others.select(F.col("a").alias("id")).unionAll(others.select("b")).distinct()
+    return components(first.unionAll(cut(verified(others, items(ends), partitions, sets, least))))

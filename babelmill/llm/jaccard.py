@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, release
 from .blobs import by_text, tune, unused
-from .candidates import Sets, grouped, prefix_groups
+from .candidates import Sets, matched, prefix_pairs, within
 from .grams import N, gram_sets, word_ngrams
 from .text import U, mix
 from .tiles import compared
@@ -89,28 +89,33 @@ def classes(docs: DataFrame) -> DataFrame:
 def alike(docs: DataFrame, least: float = LEAST, n: int = N) -> DataFrame:
     """(node, root) over text hashes: the components of two and more different texts, from (id, text, h, check) rows.
 
-    Equal texts are one member of every key group, so that copies cost neither keys nor comparisons.
+    Equal texts are one member of every key group, so that copies cost no comparisons. Texts travel only where sketches
+    leave a pair of them to be verified.
     """
     partitions = tune(docs.sparkSession)
-    texts = docs.select(F.col("h").alias("id"), "text", "check")
+    texts = docs.select(F.col("h").alias("id"), "text")
+    several = docs.groupBy("h").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y").select("h", "x").collect()
+    for h, check in several:  # different texts of one hash, of which one alone has a class
+        docs = docs.where((F.col("h") != h) | (F.col("check") == check))
+        texts = docs.select(F.col("h").alias("id"), "text")
 
     def sketch(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
         text, gram = gram_sets(texts, n)
         parts = np.split(gram, np.cumsum(np.bincount(text, minlength=len(texts)))[:-1])
         sketches = [dense_sketch(part, least).tobytes() for part in parts]
-        columns = [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array([len(x) for x in parts], pa.int32()), pa.array(sketches, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "text", "grams", "sketch"])
+        columns = [pa.array(ids, pa.int64()), pa.array([len(x) for x in parts], pa.int32()), pa.array(sketches, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "grams", "sketch"])
 
     def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         text, gram = gram_sets(texts, n)
         return text, mix(gram, 13)
 
-    groups = prefix_groups(texts, partitions, elements, least)
-    needed = groups.select(F.col("member").alias("id")).distinct()
-    wanted = texts.join(needed, "id", "left_semi").groupBy("id").agg(F.min_by("text", "check").alias("text"))
-    items = cut(wanted.mapInArrow(by_text(sketch), "id long, text string, grams int, sketch binary"))
-    left = items.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"), F.col("sketch").alias("sketch_a"))
-    right = items.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"), F.col("sketch").alias("sketch_b"))
+    found = prefix_pairs(texts, partitions, elements, least)
+    release(docs.sparkSession)
+    needed = found.select(F.col("a").alias("id")).unionAll(found.select("b")).distinct()
+    sketches = cut(within(texts, needed).mapInArrow(by_text(sketch), "id long, grams int, sketch binary").dropDuplicates(["id"]))
+    left = sketches.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"), F.col("sketch").alias("sketch_a"))
+    right = sketches.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"), F.col("sketch").alias("sketch_b"))
     ratio = (1 - least) / (1 + least)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +128,10 @@ def alike(docs: DataFrame, least: float = LEAST, n: int = N) -> DataFrame:
         sized = pairs.join(left, "a").join(right, "b").where(F.least("grams_a", "grams_b") >= least * F.greatest("grams_a", "grams_b"))
         return sized.select("a", "b", "sketch_a", "sketch_b", (F.col("grams_a") + F.col("grams_b")).alias("both")).mapInArrow(near, "a long, b long")
 
-    return grouped(groups, items.select("id", "text"), partitions, Sets(lambda text: word_ngrams(text, n), elements), least, prune)
+    def items(ids: DataFrame) -> DataFrame:
+        return within(texts, ids).dropDuplicates(["id"])
+
+    return matched(found, items, partitions, Sets(lambda text: word_ngrams(text, n), elements), least, prune)
 
 
 def duplicate_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = LEAST, n: int = N) -> DataFrame:

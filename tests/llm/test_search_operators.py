@@ -1,7 +1,9 @@
 """Dedup, join, packing and media operators against brute force, and on odd rows."""
 
 import itertools
+import pathlib
 import random
+import urllib.parse
 
 import duckdb
 import numpy as np
@@ -136,6 +138,67 @@ def test_prefixes_miss_no_pair(spark, least):
     assert len(want) > 20 and want <= got and len(got) < 4 * len(want)
 
 
+def written(spark, work):
+    """Bytes that a query writes to shuffles and checkpoints, where no table is small enough to be broadcast by itself."""
+    folder = pathlib.Path(urllib.parse.urlparse(spark.sparkContext._jsc.sc().getCheckpointDir().get()).path)
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def now():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        held = store.executorList(False)
+        return sum(held.apply(i).totalShuffleWrite() for i in range(held.size())) + sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        before = now()
+        return work(), now() - before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def long_words(n, seed):
+    rng = random.Random(seed)
+    return " ".join(f"{rng.getrandbits(400):x}" for _ in range(n))
+
+
+def unlike_texts():
+    """Texts of which two and two share keys (60 % of their words) but are unlike, and two that are alike."""
+    texts = {}
+    for i in range(0, 300, 2):
+        both = long_words(90, i)
+        texts |= {i: both + " " + long_words(60, 1000 + i), i + 1: both + " " + long_words(60, 2000 + i)}
+    return texts | {300: texts[0] + " x", 301: "y " + texts[7]}
+
+
+def test_texts_that_only_share_keys_are_not_written(spark):
+    texts = unlike_texts()
+    docs = frame(spark, texts.items())
+    kept, cost = written(spark, lambda: {r["doc_id"] for r in jaccard.keep_one(docs).select("doc_id").collect()})
+    assert kept == set(range(300))
+    assert cost < 0.6 * sum(map(len, texts.values())), cost
+
+
+@pytest.mark.parametrize("small", [2, 16])
+def test_listed_pairs_miss_none(monkeypatch, small):
+    monkeypatch.setattr(candidates, "SMALL", small)
+    rng = np.random.default_rng(small)
+    for least in (0.55, 0.9):
+        key = np.sort(rng.integers(0, 60, 900).astype(np.uint32))
+        member = np.concatenate([np.sort(rng.choice(400, n, replace=False)) for n in np.unique(key, return_counts=True)[1]]).astype(np.int64)
+        size = (10 * rng.integers(1, 9, 400))[member] * np.where(key % 3 == 0, 1, 3)
+        reach = np.where(key % 5 == 0, size, (size * rng.uniform(least, 1, 900)).astype(np.int64))
+        gid, a, b = candidates.listed(key, member, size, reach, least)
+        whole = {g: set(a[gid == g].tolist()) | set(b[gid == g].tolist()) for g in set(gid[gid != 0].tolist())}
+        got = set(zip(a[gid == 0].tolist(), b[gid == 0].tolist()))
+        want = set()
+        for i, j in itertools.combinations(range(900), 2):
+            if key[i] == key[j] and min(size[i], size[j]) >= least * max(size[i], size[j]) - 1e-6:
+                if min(reach[i], reach[j]) >= least / (1 + least) * (size[i] + size[j]) - 1e-6:
+                    want.add((member[i], member[j]))
+        assert len(want) > 100 and got <= want and (whole or small > 2)
+        assert all(pair in got or any(x.issuperset(pair) for x in whole.values()) for pair in want)
+
+
 def test_templated_lines_cost_no_square(spark, monkeypatch):
     seen = []
     plain = candidates.rest
