@@ -178,6 +178,14 @@ def test_texts_that_only_share_keys_are_not_written(spark):
     assert cost < 0.6 * sum(map(len, texts.values())), cost
 
 
+def test_only_texts_of_groups_are_compared(spark):
+    texts = unlike_texts()
+    docs = frame(spark, texts.items())
+    rows, cost = written(spark, lambda: jaccard.duplicate_groups(docs).collect())
+    assert {(r["doc_id"], r["group_id"], r["links"], r["partner_id"]) for r in rows} == {(0, 0, 1, 300), (300, 0, 1, 0), (7, 7, 1, 301), (301, 7, 1, 7)}
+    assert cost < 0.6 * sum(map(len, texts.values())), cost
+
+
 @pytest.mark.parametrize("small", [2, 16])
 def test_listed_pairs_miss_none(monkeypatch, small):
     monkeypatch.setattr(candidates, "SMALL", small)
