@@ -28,7 +28,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, release
@@ -248,7 +248,8 @@ def listed(key: np.ndarray, member: np.ndarray, size: np.ndarray, reach: np.ndar
 
 
 def prefix_pairs(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], least: float) -> DataFrame:
-    """(gid, a, b) rows in which any two sets of (id, text) rows meet whose Jaccard index is at least ``least``; written once.
+    """(gid, a, b, shared) rows in which any two sets of (id, text) rows meet whose Jaccard index is at least ``least``; written
+    once. shared: in so many buckets they meet.
 
     The keys of a set are the elements of its prefix: two sets that reach the index share one of them, whatever the order.
     A key travels with the size of its set and its place in the prefix, so that only pairs leave a bucket that these
@@ -286,7 +287,7 @@ def prefix_pairs(docs: DataFrame, partitions: int, elements: Callable[[list[str]
                 yield pa.RecordBatch.from_arrays([pa.array(o[low : low + (1 << 18)]) for o in out], names=["gid", "a", "b"])
 
     rows = exchange(docs.select("id", "text").mapInArrow(by_text(send), schema(PLACED)), partitions)
-    return cut(rows.mapInArrow(meet, "gid long, a long, b long").distinct())
+    return cut(rows.mapInArrow(meet, "gid long, a long, b long").groupBy("gid", "a", "b").agg(F.count("*").alias("shared")))
 
 
 def held_back(size: np.ndarray, least: float) -> np.ndarray:
@@ -357,29 +358,40 @@ def grouped(groups: DataFrame, items: DataFrame, partitions: int, sets: Sets, le
 def matched(found: DataFrame, items: Callable[[DataFrame], DataFrame], partitions: int, sets: Sets, least: float, prune: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, root) of the verified components of the rows of ``prefix_pairs``.
 
-    items: (id, text) of at least the ids of a table. First each text is compared with the smallest of its partners; of
-    the others those in different components are compared, and so are members of whole groups, by finer prefixes.
+    items: (id, text) of at least the ids of a table. First each text is compared with one of its partners, that of most
+    keys in common. Of the other pairs, and of the members of whole groups, by finer prefixes, those in different
+    components are left; of these again one for each text comes first. So the pairs of a cluster are pruned and compared
+    about once a text, and its square costs two numbers a listed pair.
     """
-    near = cut(prune(found.select("a", "b").distinct()))
-    ends = near.select(F.col("a").alias("id")).unionAll(near.select("b")).distinct()
-    first = cut(verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), items(ends), partitions, sets, least))
-    release(found.sparkSession)
-    joined = components(first)
 
-    def apart(pairs: DataFrame) -> DataFrame:
+    def compare(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+        return cut(verified(pairs, items(ends), partitions, sets, least))
+
+    def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
         a, b = (joined.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b"))
         split = pairs.join(a, "a", "left").join(b, "b", "left")
         return split.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
-    others = apart(near)
+    turn = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))
+    pairs = cut(found.repartition("b").groupBy("a", "b").agg(F.sum("shared").alias("shared")).select("a", "b", turn.alias("turn")))
+    first = compare(cut(prune(pairs.where("turn = 1").select("a", "b"))))
+    release(found.sparkSession)
+    joined = components(first)
+    others = apart(pairs.where("turn > 1").select("a", "b"), joined)
     groups = found.where("gid <> 0")
     if not groups.isEmpty():
         members = groups.select("gid", F.col("b").alias("member"), F.col("a").alias("leader"))
         members = members.unionAll(groups.select("gid", F.col("a").alias("member"), F.col("a").alias("leader")).distinct())
         held = items(members.select(F.col("member").alias("id")).distinct())
-        others = others.unionAll(cut(prune(cut(rest(members, joined, held, partitions, sets, least))))).distinct()
-    others = cut(others)
+        others = others.unionAll(cut(rest(members, joined, held, partitions, sets, least))).distinct()
+    near = cut(prune(cut(others)))
+    if near.isEmpty():
+        return joined
+    release(found.sparkSession)
+    first = first.unionAll(compare(cut(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))))
+    joined = components(first)
+    others = cut(apart(near, joined))
     if others.isEmpty():
         return joined
-    ends = others.select(F.col("a").alias("id")).unionAll(others.select("b")).distinct()
-    return components(first.unionAll(cut(verified(others, items(ends), partitions, sets, least))))
+    return components(first.unionAll(compare(others)))

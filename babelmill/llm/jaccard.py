@@ -149,8 +149,10 @@ def duplicate_groups(df: DataFrame, id_column: str = "doc_id", text_column: str
     texts = cut(known.select("h", "first", "second", "copies", F.coalesce("root", "h").alias("root")))
     roots = texts.groupBy("root").agg(F.min("first").alias("group_id"), F.count("*").alias("texts"))
     group = texts.join(roots.where("texts > 1"), "root").select(F.col("first").alias("node"), "root", F.col("copies").alias("weight"), F.col("h").alias("hash"))
-    asked = group.select(F.col("node").alias("id"), F.col("hash").alias("h"))
-    spelt = within(docs, asked).join(asked, ["id", "h"]).select("id", "text")  # a semi join would be moved before the sieve
+    asked = group.select(F.col("node").alias("id"), "hash")
+    sized = within(docs, asked).select("id", "text", "h", F.octet_length("text").alias("size"))
+    own = F.col("h").bitwiseXOR(F.col("hash")) == 0  # no key of the join: texts stay where the next join, by id, needs them
+    spelt = sized.join(asked, "id").where(own).select("id", "text", "size")  # a semi join would be moved before the sieve
     release(df.sparkSession)
     found = compared(spelt, group.drop("hash"), tune(df.sparkSession), n, 1, least)
     best = found.groupBy("a").agg(F.max(F.struct("similarity", (-F.col("b")).alias("minus"))).alias("best"), F.sum("links").alias("links"))

@@ -186,6 +186,37 @@ def test_only_texts_of_groups_are_compared(spark):
     assert cost < 0.6 * sum(map(len, texts.values())), cost
 
 
+def test_clusters_are_sketched_once_a_text(spark, monkeypatch):
+    asked = []
+    plain = jaccard.matched
+
+    def counted(found, items, partitions, sets, least, prune):
+        def counting(pairs):
+            asked.append(pairs.count())
+            return prune(pairs)
+
+        return plain(found, items, partitions, sets, least, counting)
+
+    monkeypatch.setattr(jaccard, "matched", counted)
+    texts = {}
+    for i in range(84):
+        own = words(200, i // 14, 5000)
+        texts[i] = edited(own, 0.02, i)
+    kept = {r["doc_id"] for r in jaccard.keep_one(frame(spark, texts.items())).select("doc_id").collect()}
+    assert kept == {0, 14, 28, 42, 56, 70}
+    assert sum(asked) < 2 * len(texts), asked
+
+
+def test_texts_of_groups_travel_few_times(spark):
+    texts = {}
+    for i in range(0, 120, 2):
+        both = long_words(90, i)
+        texts |= {i: both, i + 1: both + " x"}
+    rows, cost = written(spark, lambda: jaccard.duplicate_groups(frame(spark, texts.items())).collect())
+    assert {(r["doc_id"], r["group_id"], r["links"], r["partner_id"]) for r in rows} == {(i, i & ~1, 1, i ^ 1) for i in texts}
+    assert cost < 4.2 * sum(map(len, texts.values())), cost
+
+
 @pytest.mark.parametrize("small", [2, 16])
 def test_listed_pairs_miss_none(monkeypatch, small):
     monkeypatch.setattr(candidates, "SMALL", small)
