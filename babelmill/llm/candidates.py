@@ -16,6 +16,10 @@ that hold are joined into components. What then remains are key groups whose mem
 ``prefix_pairs`` lists the pairs of a key group that sizes and places of the key don't rule out, at most SMALL / 2 a
 member; groups of more are kept as groups. ``matched`` then goes the same way from there.
 
+Long texts share a rare element by chance, in numbers that grow with the square of the texts. So a pair must share more
+than one: where both look e places further than they must, a pair that reaches the index shares e + 1 (see ``demand``).
+Pairs that share fewer are dropped as soon as their keys are counted, before anything but two numbers travels for them.
+
 So two texts that share a key end in one component exactly if a chain of verified pairs joins them, while a group of n
 near copies costs about n comparisons a key, not n squared.
 """
@@ -50,6 +54,7 @@ FIELDS = {"key": "<u8", "member": "<i8"}
 PER_SALT = 4000  # members of one leader that a task compares
 SMALL = 16  # members of a key group of which all pairs are compared
 PLACED = {"key": "<u4", "member": "<i8", "size": "<u4", "part": "<u1"}  # buckets go by the other half of the key; equal halves by chance cost a comparison
+FURTHER = 128  # of so many elements of two sets, each looks one place further than it must, and one more element must be shared
 STEPS = 256  # a place in a prefix is told in so many steps, rounded to the front
 BITS = 1 << 25  # of the sieve of ids, which every executor holds: 4 MB
 SAMPLE, OFTEN, KNOWN = 40_000, 2, 1 << 20  # texts whose elements are counted; least count and number of elements that are told
@@ -197,18 +202,38 @@ def common(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tup
     return value[order], count[order]
 
 
-def listed(key: np.ndarray, member: np.ndarray, size: np.ndarray, reach: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+def demand(x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(reach, asked): sets of x and y elements that reach the index share at least ``asked`` of those elements at and after
+    which at least ``reach`` of either set come; such elements are in the prefixes.
+
+    An index of t needs an overlap of n. Let both sets end where n - e elements are left, the last one included; of the
+    one that ends first in the common order n - e - 1 come later, so e + 1 of the overlap lie before, in both parts.
+    """
+    n = np.ceil(least / (1 + least) * (x + y) - 1e-6).astype(np.int64)
+    spare = n - np.ceil(least * np.maximum(x, y) - 1e-9).astype(np.int64)  # as far as the prefix of either goes
+    e = np.clip(spare, 0, 1 + (x + y) // FURTHER)
+    return n - e, e + 1
+
+
+def listed(key: np.ndarray, member: np.ndarray, size: np.ndarray, reach: np.ndarray, least: float, times: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(gid, a, b): of each key group, rows sorted by key and member, the pairs a < b that may reach the index, with gid 0.
 
     size: elements of the member's set; reach: at most so many of them come at and after the key. A group with more than
     SMALL / 2 such pairs a member is given as a whole, with a gid of its own: a is its smallest member, b each of the others.
+
+    With times, of so many elements of the set with the key, also (shared, asked): in so many keys here the pair meets, and
+    in so many in all it must (see ``demand``); nothing is asked of groups.
     """
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(key)))
 
     def may(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         both = np.minimum(size[x], size[y]) >= least * np.maximum(size[x], size[y]) - 1e-6
-        return both & (np.minimum(reach[x], reach[y]) >= least / (1 + least) * (size[x] + size[y]) - 1e-6)
+        if times is None:
+            return both & (np.minimum(reach[x], reach[y]) >= least / (1 + least) * (size[x] + size[y]) - 1e-6)
+        x, y = (z[both] for z in np.broadcast_arrays(x, y))
+        both[both] = np.minimum(reach[x], reach[y]) >= demand(size[x], size[y], least)[0]
+        return both
 
     out: list[tuple[np.ndarray, np.ndarray]] = []
     at = np.flatnonzero(np.repeat(count <= SMALL, count))
@@ -232,28 +257,33 @@ def listed(key: np.ndarray, member: np.ndarray, size: np.ndarray, reach: np.ndar
         else:
             out += here
     a, b = (np.concatenate([x[i] for x in out]) for i in (0, 1))
+    shared = np.ones(len(a), np.int64) if times is None else np.minimum(times[a], times[b])
+    asked = demand(size[a], size[b], least)[1]
     a, b = member[a], member[b]
     order = np.lexsort((b, a))
-    a, b = a[order], b[order]
+    a, b, shared, asked = a[order], b[order], shared[order], asked[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    parts, seen = [(np.zeros(int(new.sum()), np.int64), a[new], b[new])], set()
+    begin = np.flatnonzero(new)
+    total = np.add.reduceat(shared, begin) if len(begin) else shared
+    parts, seen = [(np.zeros(len(begin), np.int64), a[new], b[new], total.astype(np.int32), asked[new].astype(np.int32))], set()
     for low, n in whole:
         own = member[low : low + n]
         gid = int((np.bitwise_xor.reduce(mix(own.view(U), 11)) ^ mix(np.array([n], U), 12)[0]) | U(1))
         if gid not in seen:
             seen.add(gid)
-            parts.append((np.full(n - 1, gid, U).view(np.int64), np.full(n - 1, own[0]), own[1:]))
-    return tuple(np.concatenate([x[i] for x in parts]) for i in range(3))
+            parts.append((np.full(n - 1, gid, U).view(np.int64), np.full(n - 1, own[0]), own[1:], np.ones(n - 1, np.int32), np.zeros(n - 1, np.int32)))
+    return tuple(np.concatenate([x[i] for x in parts]) for i in range(3 if times is None else 5))
 
 
 def prefix_pairs(docs: DataFrame, partitions: int, elements: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], least: float) -> DataFrame:
     """(gid, a, b, shared) rows in which any two sets of (id, text) rows meet whose Jaccard index is at least ``least``; written
-    once. shared: in so many buckets they meet.
+    once. shared: in so many keys they meet.
 
     The keys of a set are the elements of its prefix: two sets that reach the index share one of them, whatever the order.
     A key travels with the size of its set and its place in the prefix, so that only pairs leave a bucket that these
-    don't rule out; groups of very many such pairs leave it as groups (see ``listed``).
+    don't rule out; groups of very many such pairs leave it as groups (see ``listed``). A pair that meets in no such group
+    has all its keys counted, and goes if they are too few; one that does is found in the group.
     """
     often = docs.sparkSession.sparkContext.broadcast(common(docs, partitions, elements))
 
@@ -276,18 +306,20 @@ def prefix_pairs(docs: DataFrame, partitions: int, elements: Callable[[list[str]
             key, member = x["key"][order], x["member"][order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
+            times = np.diff(np.append(np.flatnonzero(new), len(new)))
             order, key = order[new], key[new]
             again = np.append(key[1:] == key[:-1], False)[: len(key)]
             shared = again | np.append(False, again)[: len(key)]
-            order, key = order[shared], key[shared]
+            order, key, times = order[shared], key[shared], times[shared]
             size = x["size"][order].astype(np.int64)
             before = -(-x["part"][order].astype(np.int64) * held_back(size, least) // STEPS)
-            out = listed(key, x["member"][order], size, size - before, least)
+            out = listed(key, x["member"][order], size, size - before, least, times)
             for low in range(0, len(out[0]), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(o[low : low + (1 << 18)]) for o in out], names=["gid", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(o[low : low + (1 << 18)]) for o in out], names=["gid", "a", "b", "shared", "asked"])
 
     rows = exchange(docs.select("id", "text").mapInArrow(by_text(send), schema(PLACED)), partitions)
-    return cut(rows.mapInArrow(meet, "gid long, a long, b long").groupBy("gid", "a", "b").agg(F.count("*").alias("shared")))
+    met = rows.mapInArrow(meet, "gid long, a long, b long, shared int, asked int")
+    return cut(met.groupBy("gid", "a", "b").agg(F.sum("shared").alias("shared"), F.max("asked").alias("asked")).where("shared >= asked").drop("asked"))
 
 
 def held_back(size: np.ndarray, least: float) -> np.ndarray:
@@ -326,7 +358,11 @@ def by_prefix(members: DataFrame, items: DataFrame, partitions: int, sets: Sets,
     reach = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     enough = F.least("size_a", "size_b") >= least * F.greatest("size_a", "size_b") - 1e-6
     met = a.join(b, "element").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough)
-    return met.where(reach >= least / (1 + least) * (F.col("size_a") + F.col("size_b")) - 1e-6).select("a", "b").distinct()
+    both, larger = F.col("size_a") + F.col("size_b"), F.greatest("size_a", "size_b")  # as in ``demand``
+    n = F.ceil(least / (1 + least) * both - 1e-6)
+    e = F.least(F.greatest(n - F.ceil(least * larger - 1e-9), F.lit(0)), F.floor(both / FURTHER) + 1)
+    counts = met.where(reach >= n - e).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(e + 1).alias("asked"))
+    return counts.where("shared >= asked").select("a", "b")
 
 
 def rest(groups: DataFrame, joined: DataFrame, items: DataFrame, partitions: int, sets: Sets, least: float) -> DataFrame:

@@ -238,6 +238,43 @@ def test_listed_pairs_miss_none(monkeypatch, small):
         assert all(pair in got or any(x.issuperset(pair) for x in whole.values()) for pair in want)
 
 
+@pytest.mark.parametrize("least", [0.55, 0.7, 0.9])
+def test_near_sets_share_what_is_asked(least):
+    rng = np.random.default_rng(int(least * 100))
+    more = 0
+    for _ in range(4000):
+        x = rng.integers(1, 400)
+        y = rng.integers(max(1, int(least * x)), int(x / least) + 1)
+        low = max(0, int(np.ceil(least / (1 + least) * (x + y) - 1e-6)))
+        both = rng.integers(low, min(x, y) + 1) if low <= min(x, y) and rng.random() < 0.5 else low
+        if both > min(x, y):
+            continue
+        order = np.arange(x + y - both)  # the common elements come last more often than not
+        common = order[-both:] if rng.random() < 0.5 else rng.choice(order, both, replace=False)
+        lone = rng.permutation(np.setdiff1d(order, common))
+        a, b = np.sort(np.append(common, lone[: x - both])), np.sort(np.append(common, lone[x - both :]))
+        reach, asked = candidates.demand(np.int64(x), np.int64(y), least)
+        in_a, in_b = a[: max(0, x - reach + 1)], b[: max(0, y - reach + 1)]
+        assert len(in_a) <= candidates.held_back(np.int64(x), least) and len(in_b) <= candidates.held_back(np.int64(y), least)
+        assert len(np.intersect1d(in_a, in_b)) >= asked
+        more += asked > 1
+    assert more > 300
+
+
+def test_pairs_that_share_an_element_by_chance_are_not_listed(spark):
+    """60 texts of which any two share one rare 3-gram, and a near copy of each fourth."""
+    own = {i: [words(3, 1000 * min(i, j) + max(i, j), 10**9) for j in range(60) if j != i] for i in range(60)}
+    texts = {i: " ".join(random.Random(i).sample(parts, len(parts))) for i, parts in own.items()}
+    texts |= {100 + i: edited(texts[i], 0.02, i) for i in range(0, 60, 4)}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    elements = lambda x: (lambda t, g: (t, mix(g, 13)))(*grams.gram_sets(x))
+    got = {(r["a"], r["b"]) for r in candidates.prefix_pairs(docs, 4, elements, 0.55).collect()}
+    assert got == {(i, 100 + i) for i in range(0, 60, 4)}
+    members = spark.createDataFrame([(i, i) for i in texts], "member long, root long")
+    how = candidates.Sets(jaccard.word_ngrams, elements)
+    assert {(r["a"], r["b"]) for r in candidates.by_prefix(members, docs, 4, how, 0.55).collect()} == got
+
+
 def test_templated_lines_cost_no_square(spark, monkeypatch):
     seen = []
     plain = candidates.rest
