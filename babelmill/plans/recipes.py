@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows over all cores: a few MB of compressed rows are one or two tasks to the scan, whatever their claims cost to decode."""
+    spark = df.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, key)
+
+
 def _language_map(keep: list[Column], value: list[Column]) -> Column:
     """A map of the languages whose condition holds."""
     entries = [F.when(k, F.struct(F.lit(name).alias("key"), v.alias("value"))) for name, k, v in zip(LANGUAGES, keep, value)]
@@ -56,7 +63,7 @@ def site_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def claim_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An entity a part with one statement; its kind, labels, units, qualifiers and references follow from the part's key and size."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"), "p_partkey")
     names = _language_map(_where("p_partkey", 3), [F.concat("p_brand", F.lit(f":{n}")) for n in LANGUAGES])
     labels = _language_map(_where("p_size", 2, 0), [F.concat("p_name", F.lit(f":{n}")) for n in LANGUAGES])
     kind, key, size = F.col("p_partkey") % 8, F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
@@ -98,7 +105,7 @@ from part cross join {LANGS}
 
 def union_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, datatype, value): JSON of a bare string, an object, and precisions that are whole or broken."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"), "p_partkey")
     kind, key = F.col("p_partkey") % 4, F.col("p_partkey").cast("string")
     value = (
         F.when(kind == 0, F.concat(F.lit('"{'), "p_name", F.lit('"')))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from babelmill.functions import drift, normalise
 from babelmill.functions.schemas import CLAIMS, PARSED_CLAIMS, TERMS
 from babelmill.operators import claims, flatten
+from babelmill.plans import catalogue
 
 COLUMNS = ["id", "property", "datatype", "language", "property_label", "datavalue_label", "unit_label"]
 
@@ -132,3 +133,14 @@ def test_drift(spark):
     drift.check(df(good), "j", PARSED_CLAIMS)
     with pytest.raises(drift.SchemaDriftError):
         drift.check(df(good.replace('"rank"', '"place"')), "j", PARSED_CLAIMS)
+
+
+@pytest.mark.parametrize("name", ["claims_wikibase_join"])
+def test_claims_of_a_small_file_are_decoded_by_all_cores_and_once(spark, tmp_path, name):
+    part = [(i, f"name {i}", f"brand {i % 5}", f"type {i % 7}", i % 50 + 1) for i in range(1, 400)]
+    spark.createDataFrame(part, "p_partkey int, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    df = catalogue.QUERIES[name](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression") :]
+    assert plan.count("from_json") == plan.count("RepartitionByExpression") and "from_json" not in below.split("\n", 1)[1].split("RepartitionByExpression")[-1]
+    assert df.count() > 50
