@@ -135,7 +135,7 @@ def test_drift(spark):
         drift.check(df(good.replace('"rank"', '"place"')), "j", PARSED_CLAIMS)
 
 
-@pytest.mark.parametrize("name", ["claims_wikibase_join"])
+@pytest.mark.parametrize("name", ["normalise_claims", "claims_wikibase_join"])
 def test_claims_of_a_small_file_are_decoded_by_all_cores_and_once(spark, tmp_path, name):
     part = [(i, f"name {i}", f"brand {i % 5}", f"type {i % 7}", i % 50 + 1) for i in range(1, 400)]
     spark.createDataFrame(part, "p_partkey int, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
